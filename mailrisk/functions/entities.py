@@ -1,8 +1,10 @@
 """HTML entity decoding as a native expression (HTML5 rules, one pass).
 
 The text is cut before every ampersand that can start a reference, so each piece
-starts with at most one. Names are looked up in literal maps built from the standard library's
-HTML5 table, bucketed by first letter so a lookup scans a few dozen names.
+starts with at most one. Names are looked up in packed strings built from the
+standard library's HTML5 table, one per first letter: a plan holds them as plain
+string literals, which the optimizer compares cheaply (large map literals cost
+it half a second per use), and a lookup searches a few hundred bytes.
 """
 
 from __future__ import annotations
@@ -22,35 +24,52 @@ _START = r"&[#a-zA-Z]"
 _REPLACEMENT = "\ufffd"
 
 
+# Before a packed key, and between a key and its value.
+_ENTRY, _VALUE = "\x01", "\x02"
+
+
+def _pack(table: dict[str, str]) -> str:
+    return "".join(f"{_ENTRY}{key}{_VALUE}{value}" for key, value in table.items()) + _ENTRY
+
+
+def _lookup(packed: Column, key: Column) -> Column:
+    """Value of ``key`` in a packed string, null when absent."""
+    from_value = F.split_part(packed, F.concat(F.lit(_ENTRY), key, F.lit(_VALUE)), F.lit(2))
+    return F.nullif(F.split_part(from_value, F.lit(_ENTRY), F.lit(1)), F.lit(""))
+
+
 @lru_cache(maxsize=1)
-def _name_buckets() -> str:
-    """JSON of first letter -> {name without ampersand: character(s)}."""
-    buckets: dict[str, dict[str, str]] = {}
+def _packed_names() -> str:
+    """JSON of first letter -> packed names (with semicolon, or short without)."""
+    by_letter: dict[str, dict[str, str]] = {}
     for name, text in html5.items():
-        if name.endswith(";"):
-            buckets.setdefault(name[0], {})[name] = text
-    return json.dumps(buckets)
+        by_letter.setdefault(name[0], {})[name] = text
+    return json.dumps({letter: _pack(names) for letter, names in by_letter.items()})
 
 
 @lru_cache(maxsize=1)
-def _short_names() -> tuple[str, str]:
-    """Names allowed without a semicolon: longest-first pattern, JSON map."""
-    names = {name: text for name, text in html5.items() if not name.endswith(";")}
-    ordered = sorted(names, key=lambda name: (-len(name), name))
-    return rf"\A&({'|'.join(ordered)})", json.dumps(names)
+def _short_names() -> str:
+    """Pattern of the names allowed without a semicolon, longest first."""
+    names = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+    return rf"\A&({'|'.join(names)})"
 
 
 @lru_cache(maxsize=1)
 def _special_code_points() -> str:
-    """JSON of code points that HTML5 remaps or drops, found from the rule itself."""
-    changed = {}
-    points = [*range(0x0, 0x20), *range(0x7F, 0xA0), *range(0xFDD0, 0xFDF0)]
-    points += [plane * 0x10000 + low for plane in range(17) for low in (0xFFFE, 0xFFFF)]
-    for point in points:
-        decoded = unescape(f"&#{point};")
-        if decoded != chr(point):
-            changed[str(point)] = decoded
-    return json.dumps(changed)
+    """Packed code points that HTML5 remaps, found from the rule itself."""
+    points = [*range(0x0, 0x20), *range(0x7F, 0xA0)]
+    decoded = {point: unescape(f"&#{point};") for point in points}
+    return _pack({str(p): text for p, text in decoded.items() if text and text != chr(p)})
+
+
+def _is_dropped(point: Column) -> Column:
+    """Control characters and non-characters decode to nothing."""
+    controls = [p for p in (*range(0x0, 0x20), *range(0x7F, 0xA0)) if unescape(f"&#{p};") == ""]
+    return (
+        point.isin(controls)
+        | point.between(0xFDD0, 0xFDEF)
+        | (point.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    )
 
 
 def _numeric_value(reference: Column) -> Column:
@@ -64,36 +83,33 @@ def _numeric_value(reference: Column) -> Column:
         .when(is_hex, F.conv(digits, 16, 10).cast("int"))
         .otherwise(digits.try_cast("int"))
     )
-    special = F.from_json(F.lit(_special_code_points()), "map<string,string>")
     invalid = (point > 0x10FFFF) | point.between(0xD800, 0xDFFF)
     encoded = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
-    return F.when(invalid, F.lit(_REPLACEMENT)).otherwise(
-        F.coalesce(F.try_element_at(special, point.cast("string")), encoded)
+    return (
+        F.when(invalid, F.lit(_REPLACEMENT))
+        .when(_is_dropped(point), F.lit(""))
+        .otherwise(F.coalesce(_lookup(F.lit(_special_code_points()), point.cast("string")), encoded))
     )
 
 
 def _decode_piece(piece: Column) -> Column:
     """Decode the entity that may start a piece; the rest stays as it is."""
-    buckets = F.from_json(
-        F.lit(_name_buckets()), "map<string,map<string,string>>"
-    )
-    short_pattern, short_json = _short_names()
-    short_map = F.from_json(F.lit(short_json), "map<string,string>")
-
+    names = F.from_json(F.lit(_packed_names()), "map<string,string>")
     numeric = F.regexp_extract(piece, _NUMERIC, 0)
     named = F.regexp_extract(piece, _NAMED, 0)
-    short = F.regexp_extract(piece, short_pattern, 1)
-    by_name = F.try_element_at(
-        F.try_element_at(buckets, F.substring(named, 2, 1)),
-        F.substring(named, 2, 64),
-    )
+    short = F.regexp_extract(piece, _short_names(), 1)
+
+    def value(name: Column) -> Column:
+        return _lookup(F.try_element_at(names, F.substring(name, 1, 1)), name)
+
+    by_name = value(F.substring(named, 2, 64))
     # Each lookup is referenced once; a failed one is null and falls through.
     return F.coalesce(
         F.when(~piece.startswith("&"), piece),
         F.when(numeric != "", F.concat(_numeric_value(numeric), _tail(piece, numeric))),
         F.concat(by_name, _tail(piece, named)),
         F.concat(
-            F.try_element_at(short_map, short), _tail(piece, F.concat(F.lit("&"), short))
+            value(short), _tail(piece, F.concat(F.lit("&"), short))
         ),
         piece,
     )

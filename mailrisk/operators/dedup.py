@@ -1,6 +1,7 @@
 """Exact duplicates, conflicting labels and keep-first deduplication.
 
-All grouping is done on SHA-256 digests, so only fixed-size keys, one row key
+All grouping is done on SHA-256 digests (taken from the ``<text>_digest`` column
+where a written table has one, so the text is not even read), so only fixed-size keys, one row key
 and label bounds are shuffled, with map-side partial aggregation: a text that
 makes up a third of the rows reaches its reducer as one row per map task. Full
 rows move once, in a semi-join on the unique row key, which cannot be skewed.
@@ -18,6 +19,15 @@ def digest(value: Column) -> Column:
     return F.sha2(value, 256)
 
 
+def with_text_digest(mails: DataFrame, text: str = "text_combined") -> DataFrame:
+    return mails.withColumn(f"{text}_digest", digest(F.col(text)))
+
+
+def _text_digest(mails: DataFrame, text: str) -> Column:
+    known = f"{text}_digest"
+    return F.col(known) if known in mails.columns else digest(F.col(text))
+
+
 def row_digest(columns: tuple[str, ...]) -> Column:
     """Digest of several columns; lengths make the concatenation unambiguous."""
     parts = []
@@ -29,7 +39,7 @@ def row_digest(columns: tuple[str, ...]) -> Column:
 
 def text_groups(mails: DataFrame, text: str = "text_combined") -> DataFrame:
     """One row per distinct text: size, first row key and label bounds."""
-    return mails.groupBy(digest(F.col(text)).alias("text_digest")).agg(
+    return mails.groupBy(_text_digest(mails, text).alias("text_digest")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("row_key").alias("first_key"),
         F.min("label").alias("min_label"),
@@ -62,7 +72,7 @@ def standardization_summary(standardized: DataFrame, usable: DataFrame) -> DataF
     """Audit counters of a standardization run as ``(metric, value)`` rows."""
     loaded = standardized.agg(F.count(F.lit(1)).alias("rows_after_load"))
     exact = usable.groupBy(
-        digest(F.col("text_combined")).alias("text_digest"),
+        _text_digest(usable, "text_combined").alias("text_digest"),
         row_digest(MAIL_COLUMNS).alias("row_digest"),
     ).agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("label"))
     texts = exact.groupBy("text_digest").agg(

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailrisk.functions.risk import class_name
 from mailrisk.functions.text import clean_text
-from mailrisk.operators.dedup import digest, to_metric_rows
+from mailrisk.operators.dedup import deduplicate, digest, to_metric_rows, with_text_digest
 from mailrisk.operators.standardize import MAIL_COLUMNS
 from mailrisk.operators.terms import MIN_DOCUMENTS, postings
+from mailrisk.session import write_stage
 
 # Histogram and term list sizes.
 HISTOGRAM_BINS = 40
@@ -121,22 +124,36 @@ def duplicate_statistics(mails: DataFrame) -> DataFrame:
     )
 
 
-def with_cleaned_text(mails: DataFrame) -> DataFrame:
-    """Append ``text_cleaned`` and drop mails without any cleaned text."""
+def cleaned_mails(mails: DataFrame) -> DataFrame:
+    """Mails with ``text_cleaned``, without those that have no cleaned text.
+
+    Written once: the cleaned text feeds a filter, a digest and later training,
+    and would otherwise be computed for each of them.
+    """
     cleaned = mails.withColumn("text_cleaned", clean_text(F.col("text_combined")))
-    return cleaned.where(F.col("text_cleaned") != "")
+    stage = write_stage(with_text_digest(cleaned, "text_cleaned"), "cleaned")
+    return stage.where(F.col("text_cleaned") != "")
+
+
+def cleaned_deduplicated(mails: DataFrame) -> DataFrame:
+    """One mail per cleaned text; texts with conflicting labels are dropped."""
+    return deduplicate(cleaned_mails(mails), "text_cleaned")
 
 
 def cleaned_duplicate_check(mails: DataFrame) -> DataFrame:
     """Duplicate and conflict counters of a training table by cleaned text."""
-    empty = digest(F.lit(""))
+    empty = hashlib.sha256(b"").hexdigest()
     cleaned = clean_text(F.col("text_combined"))
     digests = mails.select(
-        "label", digest(cleaned).alias("cleaned"), digest(F.col("text_combined")).alias("raw")
-    ).where(F.col("cleaned") != empty)
-    pairs = F.array("raw", "cleaned")
+        "label", F.array(digest(F.col("text_combined")), digest(cleaned)).alias("digests")
+    )
+    # An empty cleaned text takes its raw digest along, so both are left out.
     groups = (
-        digests.select("label", F.posexplode_outer(pairs).alias("kind", "digest"))
+        digests.select(
+            "label", (F.get("digests", 1) != empty).alias("kept"),
+            F.posexplode_outer("digests").alias("kind", "digest"),
+        )
+        .where("kept")
         .groupBy("kind", "digest")
         .agg(
             F.count(F.lit(1)).alias("rows"),

@@ -113,7 +113,11 @@ def standardize_feeds(spark: SparkSession, feeds: Sequence[DataFrame]) -> DataFr
 
 
 def usable_rows(mails: DataFrame) -> DataFrame:
-    """Rows with a recognised label and non-empty text."""
+    """Rows with a recognised label and non-empty text.
+
+    Apply it to a written table: over an unwritten projection the optimizer
+    would evaluate the text composition once more for the filter.
+    """
     return (
         mails.where(F.col("label").isNotNull())
         .withColumn("text_combined", clean_value(F.col("text_combined")))

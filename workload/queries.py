@@ -11,6 +11,7 @@ from mailrisk.functions import labels, links, text
 from mailrisk.functions.entities import decode_entities
 from mailrisk.functions.mail import parse_mail
 from mailrisk.operators import dedup, features, profile, split, standardize, terms
+from mailrisk.plans import standardization
 from mailrisk.sources import tables as loading
 from workload import tables
 
@@ -58,7 +59,8 @@ def q_normalize_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.mails(spark, sf_dir)
+    """The whole run from the raw feeds, never from a table written earlier."""
+    return standardization.standardize(spark, tables.feeds(spark, sf_dir)).mails
 
 
 @query
@@ -192,8 +194,8 @@ def q_cleaned_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_cleaned_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     usable = standardize.usable_rows(tables.standardized(spark, sf_dir))
-    cleaned = profile.with_cleaned_text(loading.load_for_training(usable))
-    return dedup.deduplicate(cleaned, "text_cleaned").select("row_key", "label", "text_cleaned")
+    kept = profile.cleaned_deduplicated(loading.load_for_training(usable))
+    return kept.select("row_key", "label", "text_cleaned")
 
 
 @query

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailrisk.operators.dedup import deduplicate
-from mailrisk.operators.standardize import standardize_feeds, usable_rows
+from mailrisk.plans.standardization import write_mails, write_standardized
 
 RAW_MAILS = """
 SELECT d.doc_id AS row_key, d.source AS source_file,
@@ -142,11 +141,24 @@ def feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [full, renamed, ready]
 
 
+_STAGES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _staged(name: str, build, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build a written table once per session and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGES:
+        _STAGES[key] = build(spark, sf_dir)
+    return _STAGES[key]
+
+
 def standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Union of the standardized feeds, before any filter."""
-    return standardize_feeds(spark, feeds(spark, sf_dir))
+    """Union of the standardized feeds, before any filter (written once)."""
+    return _staged("standardized", lambda s, d: write_standardized(s, feeds(s, d)), spark, sf_dir)
 
 
 def mails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The canonical mail table: usable, conflict-free, one row per text."""
-    return deduplicate(usable_rows(standardized(spark, sf_dir)))
+    """The canonical mail table: usable, conflict-free, one row per text (written once)."""
+    return _staged(
+        "mails", lambda s, d: write_mails(standardized(s, d)), spark, sf_dir
+    )
