@@ -26,6 +26,8 @@ _REPLACEMENT = "\ufffd"
 
 # Before a packed key, and between a key and its value.
 _ENTRY, _VALUE = "\x01", "\x02"
+# Packed value of a control character that decodes to nothing.
+_DROPPED = "\x03"
 
 
 def _pack(table: dict[str, str]) -> str:
@@ -56,20 +58,10 @@ def _short_names() -> str:
 
 @lru_cache(maxsize=1)
 def _special_code_points() -> str:
-    """Packed code points that HTML5 remaps, found from the rule itself."""
+    """Packed code points that HTML5 remaps or drops, found from the rule itself."""
     points = [*range(0x0, 0x20), *range(0x7F, 0xA0)]
     decoded = {point: unescape(f"&#{point};") for point in points}
-    return _pack({str(p): text for p, text in decoded.items() if text and text != chr(p)})
-
-
-def _is_dropped(point: Column) -> Column:
-    """Control characters and non-characters decode to nothing."""
-    controls = [p for p in (*range(0x0, 0x20), *range(0x7F, 0xA0)) if unescape(f"&#{p};") == ""]
-    return (
-        point.isin(controls)
-        | point.between(0xFDD0, 0xFDEF)
-        | (point.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
-    )
+    return _pack({str(p): text or _DROPPED for p, text in decoded.items() if text != chr(p)})
 
 
 def _numeric_value(reference: Column) -> Column:
@@ -84,11 +76,13 @@ def _numeric_value(reference: Column) -> Column:
         .otherwise(digits.try_cast("int"))
     )
     invalid = (point > 0x10FFFF) | point.between(0xD800, 0xDFFF)
+    non_character = point.between(0xFDD0, 0xFDEF) | (point.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    special = _lookup(F.lit(_special_code_points()), point.cast("string"))
     encoded = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
     return (
         F.when(invalid, F.lit(_REPLACEMENT))
-        .when(_is_dropped(point), F.lit(""))
-        .otherwise(F.coalesce(_lookup(F.lit(_special_code_points()), point.cast("string")), encoded))
+        .when(non_character, F.lit(""))
+        .otherwise(F.coalesce(F.replace(special, F.lit(_DROPPED), F.lit("")), encoded))
     )
 
 

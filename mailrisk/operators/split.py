@@ -49,18 +49,23 @@ def _cut_points(mails: DataFrame, quota: dict[int, int], seed: int) -> dict[int,
         .where((F.col("upto") >= wanted) & (F.col("upto") - F.col("count") < wanted))
         .collect()
     )
-    cuts = {}
+    if not edge:
+        return {}
+    rank = {row["label"]: quota[row["label"]] - (row["upto"] - row["count"]) for row in edge}
+    # About n / 65,536 rows per class are ranked one by one.
+    inside = F.lit(False)
     for row in edge:
-        rank = quota[row["label"]] - (row["upto"] - row["count"])
-        inside = hashed.where((F.col("label") == row["label"]) & (prefix == row["prefix"]))
-        cuts[row["label"]] = inside.orderBy("hash").limit(rank).agg(F.max("hash")).first()[0]
-    return cuts
+        inside = inside | ((F.col("label") == row["label"]) & (prefix == row["prefix"]))
+    position = F.row_number().over(Window.partitionBy("label").orderBy("hash"))
+    wanted_rank = F.coalesce(*(F.when(F.col("label") == l, F.lit(n)) for l, n in rank.items()))
+    last = hashed.where(inside).withColumn("position", position)
+    return {r["label"]: r["hash"] for r in last.where(F.col("position") == wanted_rank).collect()}
 
 
 def stratified_split(
     mails: DataFrame, test_size: float = TEST_SIZE, seed: int = SEED
 ) -> DataFrame:
-    """Append ``is_test``. ``row_key`` must be unique; two or three small jobs run."""
+    """Append ``is_test``. ``row_key`` must be unique; three small jobs run."""
     quota = test_quota(class_counts(mails), test_size)
     cuts = _cut_points(mails, quota, seed)
     is_test = F.lit(False)

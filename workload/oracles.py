@@ -205,3 +205,226 @@ ORACLES["q_vocabulary"] = with_parts("vocabulary") + (
 ORACLES["q_tfidf"] = with_parts("weights") + (
     "SELECT row_key, CAST(term_id AS INTEGER) AS term_id, round(weight, 6) AS weight FROM weights"
 )
+
+# Scores derived from features, one row per mail and model.
+_SCORED = (
+    "scored AS MATERIALIZED (SELECT row_key, label, text_combined, model, score, "
+    "CAST(score >= 0.5 AS INTEGER) AS predicted_label FROM ("
+    "SELECT row_key, label, text_combined, 'by_links' AS model, n_links / (n_links + 1) AS score FROM features "
+    "UNION ALL SELECT row_key, label, text_combined, 'by_length', body_len / (body_len + 1500) FROM features "
+    "UNION ALL SELECT row_key, label, text_combined, 'by_subject', (subject_len % 100) / 100 FROM features))"
+)
+_CELLS = (
+    "count(*) FILTER (WHERE label = 0 AND predicted_label = 0) AS true_negative, "
+    "count(*) FILTER (WHERE label = 0 AND predicted_label = 1) AS false_positive, "
+    "count(*) FILTER (WHERE label = 1 AND predicted_label = 0) AS false_negative, "
+    "count(*) FILTER (WHERE label = 1 AND predicted_label = 1) AS true_positive"
+)
+_CURVE = (
+    "totals AS (SELECT model, sum(label) AS p, count(*) - sum(label) AS n FROM scored GROUP BY model), "
+    "steps AS (SELECT model, score, sum(label) AS pos, count(*) - sum(label) AS neg FROM scored GROUP BY model, score), "
+    "curve AS (SELECT s.*, t.p, t.n, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp "
+    "FROM steps s JOIN totals t USING (model) WINDOW w AS (PARTITION BY model ORDER BY score DESC))"
+)
+_WITH_SCORES = with_parts("features") + ", " + _SCORED + ", " + _CURVE
+_RATES = (
+    "(tn + tp) / (tn + fp + fn + tp) AS accuracy, "
+    "CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS \"precision\", "
+    "CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS recall, "
+    "CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1"
+)
+_RATED = (
+    f"(SELECT *, {_RATES} FROM (SELECT model, true_negative AS tn, false_positive AS fp, "
+    f"false_negative AS fn, true_positive AS tp FROM (SELECT model, {_CELLS} FROM scored GROUP BY model)))"
+)
+ORACLES["q_metrics"] = _WITH_SCORES + f"""
+, ranks AS (SELECT model, sum(pos * (n - fp + neg / 2)) / any_value(p) / any_value(n) AS roc_auc,
+  sum(pos * (tp / (tp + fp))) / any_value(p) AS pr_auc FROM curve GROUP BY model)
+SELECT model, round(accuracy, 6) AS accuracy, round("precision", 6) AS "precision", round(recall, 6) AS recall,
+  round(f1, 6) AS f1, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc, tn AS true_negative,
+  fp AS false_positive, fn AS false_negative, tp AS true_positive FROM {_RATED} JOIN ranks USING (model)"""
+ORACLES["q_confusion"] = _WITH_SCORES + f"SELECT model, {_CELLS} FROM scored GROUP BY model"
+ORACLES["q_roc"] = _WITH_SCORES + """
+SELECT model, round(score, 9) AS threshold, round(fp / n, 9) AS fpr, round(tp / p, 9) AS tpr FROM curve
+UNION ALL SELECT model, NULL, 0, 0 FROM totals"""
+ORACLES["q_pr"] = _WITH_SCORES + """
+SELECT model, round(score, 9) AS threshold, round(tp / (tp + fp), 9) AS "precision", round(tp / p, 9) AS recall,
+  round(p / (p + n), 9) AS baseline FROM curve
+UNION ALL SELECT model, NULL, 1, 0, round(p / (p + n), 9) FROM totals"""
+ORACLES["q_best_model"] = _WITH_SCORES + (
+    f"SELECT model, round(f1, 6) AS f1 FROM {_RATED} ORDER BY f1 DESC, model LIMIT 1"
+)
+ORACLES["q_errors"] = _WITH_SCORES + """
+SELECT row_key, text_combined, label AS true_label, predicted_label, round(score, 6) AS phishing_probability,
+  CASE WHEN label = 0 THEN 'false_positive' ELSE 'false_negative' END AS error_type
+FROM scored WHERE model = 'by_links' AND label <> predicted_label
+QUALIFY row_number() OVER (PARTITION BY label ORDER BY row_key) <= 10"""
+ORACLES["q_sample_predictions"] = _WITH_SCORES + f"""
+SELECT row_key, text_combined, label AS true_label, predicted_label, round(score, 6) AS phishing_probability,
+  round(score * 100, 6) AS risk_score, {sql.risk_level('score * 100')} AS risk_level
+FROM scored WHERE model = 'by_links' ORDER BY row_key LIMIT 20"""
+
+_EXPERIMENTS = (
+    ("src1_src2_to_src3", ("src1", "src2"), ("src3",)),
+    ("src4_to_src5", ("src4",), ("src5",)),
+    ("absent_to_src5", ("absent",), ("src5",)),
+)
+
+
+def _mask(keywords: tuple[str, ...]) -> str:
+    return "(" + " OR ".join(f"contains(lower(source_file), '{k}')" for k in keywords) + ")"
+
+
+ORACLES["q_source_mask"] = with_parts("mails") + (
+    "SELECT row_key, source_file, "
+    + ", ".join(f"{_mask(train)} AS in_{name}" for name, train, _ in _EXPERIMENTS)
+    + " FROM mails"
+)
+ORACLES["q_holdout_counts"] = with_parts("mails") + (
+    "SELECT experiment, CASE WHEN e OR f THEN 'skipped' ELSE 'ok' END AS status, "
+    "CASE WHEN e THEN 'empty train or test split' WHEN f THEN "
+    "'training split does not contain at least two examples per class' ELSE '' END AS note, "
+    "a0 + a1 AS train_rows, b0 + b1 AS test_rows, a0 AS train_legitimate, a1 AS train_phishing, "
+    "b0 AS test_legitimate, b1 AS test_phishing FROM (SELECT *, a0 + a1 = 0 OR b0 + b1 = 0 AS e, "
+    "least(a0, a1) < 2 AS f FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS experiment, "
+        + ", ".join(
+            f"count(*) FILTER (WHERE {_mask(side)} AND label = {label}) AS {letter}{label}"
+            for letter, side in (("a", train), ("b", test)) for label in (0, 1)
+        )
+        + " FROM mails"
+        for name, train, test in _EXPERIMENTS
+    )
+    + "))"
+)
+
+sql.PARTS["moments"] = (
+    "SELECT " + ", ".join(
+        f"avg({f}) AS m_{f}, CASE WHEN stddev_pop({f}) = 0 THEN 1 ELSE stddev_pop({f}) END AS s_{f}"
+        for f in _FEATURES
+    ) + " FROM features WHERE NOT is_test",
+    ("features",),
+)
+sql.PARTS["scaled"] = (
+    "SELECT row_key, label, is_test, text_combined, "
+    + ", ".join(f"{f} AS raw_{f}, ({f} - m_{f}) / s_{f} AS {f}" for f in _FEATURES)
+    + " FROM features, moments",
+    ("features", "moments"),
+)
+ORACLES["q_scaled_metadata"] = with_parts("scaled") + (
+    "SELECT row_key, " + ", ".join(f"round({f}, 6) AS {f}" for f in _FEATURES) + " FROM scaled"
+)
+# Model input blanks missing tokens; mail texts are never such a token, so the
+# weights of the split mails are those of the model input.
+sql.PARTS["odds"] = (
+    "SELECT term_id, term, ln((coalesce(w1, 0) + 1) / (sum(coalesce(w1, 0)) OVER () + count(*) OVER ())) "
+    "- ln((coalesce(w0, 0) + 1) / (sum(coalesce(w0, 0)) OVER () + count(*) OVER ())) AS coefficient "
+    "FROM vocabulary LEFT JOIN (SELECT term_id, sum(weight) FILTER (WHERE label = 1) AS w1, "
+    "sum(weight) FILTER (WHERE label = 0) AS w0 FROM weights WHERE NOT is_test GROUP BY term_id) USING (term_id)",
+    ("vocabulary", "weights"),
+)
+sql.PARTS["text_score"] = (
+    "SELECT s.row_key, s.label, s.is_test, s.text_combined, "
+    "coalesce(t.total, 0) + (SELECT ln(sum(label)) - ln(count(*) - sum(label)) FROM split WHERE NOT is_test) AS decision "
+    "FROM split s LEFT JOIN (SELECT row_key, sum(weight * coefficient) AS total FROM weights "
+    "JOIN odds USING (term_id) GROUP BY row_key) t USING (row_key)",
+    ("split", "weights", "odds"),
+)
+ORACLES["q_naive_bayes"] = with_parts("text_score") + (
+    "SELECT row_key, label, CAST(decision > 0 AS INTEGER) AS predicted_label, "
+    "round(1 / (1 + exp(-decision)), 6) AS score FROM text_score WHERE is_test"
+)
+ORACLES["q_naive_bayes_coefficients"] = with_parts("odds") + (
+    "SELECT term AS feature, round(coefficient, 6) AS coefficient FROM odds"
+)
+sql.PARTS["similarities"] = (
+    "SELECT s.row_key, coalesce(m.best, 0) AS max_similarity FROM split s LEFT JOIN ("
+    "SELECT row_key, max(dot) AS best FROM (SELECT a.row_key, b.row_key AS other, sum(a.weight * b.weight) AS dot "
+    "FROM weights a JOIN weights b ON a.term_id = b.term_id WHERE a.is_test AND NOT b.is_test "
+    "GROUP BY a.row_key, b.row_key) GROUP BY row_key) m USING (row_key) WHERE s.is_test",
+    ("split", "weights"),
+)
+ORACLES["q_max_similarity"] = with_parts("similarities") + (
+    "SELECT row_key, round(max_similarity, 6) AS max_similarity FROM similarities"
+)
+ORACLES["q_near_duplicates"] = with_parts("similarities") + """
+SELECT (SELECT count(*) FROM split WHERE NOT is_test) AS train_rows, count(*) AS test_rows,
+  round(avg(max_similarity), 6) AS mean_max_similarity,
+  round(quantile_cont(max_similarity, 0.5), 6) AS median_max_similarity,
+  round(quantile_cont(max_similarity, 0.9), 6) AS p90_max_similarity,
+  round(quantile_cont(max_similarity, 0.95), 6) AS p95_max_similarity,
+  count(*) FILTER (WHERE max_similarity > 0.9) AS count_similarity_gt_0_90,
+  round(count(*) FILTER (WHERE max_similarity > 0.9) / count(*), 6) AS ratio_similarity_gt_0_90,
+  count(*) FILTER (WHERE max_similarity > 0.95) AS count_similarity_gt_0_95,
+  round(count(*) FILTER (WHERE max_similarity > 0.95) / count(*), 6) AS ratio_similarity_gt_0_95
+FROM similarities"""
+
+# Metadata coefficient: difference of the class means of the scaled feature.
+sql.PARTS["metadata_weights"] = (
+    " UNION ALL ".join(
+        f"SELECT {i} AS position, '{f}' AS feature, avg({f}) FILTER (WHERE label = 1) "
+        f"- avg({f}) FILTER (WHERE label = 0) AS coefficient FROM scaled WHERE NOT is_test"
+        for i, f in enumerate(_FEATURES)
+    ),
+    ("scaled",),
+)
+sql.PARTS["metadata_rows"] = (
+    "SELECT row_key, label, is_test, position, feature, raw_value, scaled_value, coefficient, "
+    "scaled_value * coefficient AS contribution FROM ("
+    + " UNION ALL ".join(
+        f"SELECT row_key, label, is_test, '{f}' AS feature, raw_{f} AS raw_value, {f} AS scaled_value FROM scaled"
+        for f in _FEATURES
+    )
+    + ") JOIN metadata_weights USING (feature)",
+    ("scaled", "metadata_weights"),
+)
+sql.PARTS["full_score"] = (
+    "SELECT row_key, t.label, t.is_test, text_combined, 1 / (1 + exp(-(decision + extra))) AS p FROM text_score t "
+    "JOIN (SELECT row_key, sum(contribution) AS extra FROM metadata_rows GROUP BY row_key) USING (row_key)",
+    ("text_score", "metadata_rows"),
+)
+ORACLES["q_score"] = with_parts("full_score") + (
+    "SELECT row_key, CAST(p >= 0.7 AS INTEGER) AS predicted_label, "
+    "CASE WHEN p >= 0.7 THEN 'phishing' ELSE 'legitimate' END AS prediction, "
+    "round(p, 6) AS phishing_probability, round(p * 100, 6) AS risk_score, "
+    f"{sql.risk_level('p * 100')} AS risk_level FROM full_score WHERE is_test"
+)
+ORACLES["q_global_indicators"] = with_parts("odds") + """
+(SELECT 'phishing' AS class_name, term, round(coefficient, 6) AS coefficient FROM odds ORDER BY odds.coefficient DESC, term LIMIT 20)
+UNION ALL
+(SELECT 'legitimate', term, round(coefficient, 6) FROM odds ORDER BY odds.coefficient, term LIMIT 20)"""
+ORACLES["q_metadata_coefficients"] = with_parts("metadata_weights") + (
+    "SELECT feature, round(coefficient, 6) AS coefficient FROM metadata_weights"
+)
+sql.PARTS["text_rows"] = (
+    "SELECT row_key, label, term, weight, coefficient, weight * coefficient AS contribution, "
+    "row_number() OVER (PARTITION BY row_key ORDER BY weight * coefficient DESC, term) AS rank "
+    "FROM (SELECT row_key, label, is_test, term_id, weight FROM weights) JOIN odds USING (term_id) "
+    "WHERE is_test AND weight * coefficient > 0",
+    ("weights", "odds"),
+)
+ORACLES["q_explain_text"] = with_parts("text_rows") + (
+    "SELECT row_key, CAST(rank AS INTEGER) AS rank, term, round(weight, 6) AS tfidf_value, "
+    "round(coefficient, 6) AS coefficient, round(contribution, 6) AS contribution FROM text_rows WHERE rank <= 10"
+)
+ORACLES["q_explain_metadata"] = with_parts("metadata_rows") + (
+    "SELECT row_key, feature, round(raw_value, 6) AS raw_value, round(scaled_value, 6) AS scaled_value, "
+    "round(coefficient, 6) AS coefficient, round(contribution, 6) AS contribution, "
+    "CASE WHEN contribution > 0 THEN 'toward_phishing' ELSE 'toward_legitimate' END AS direction "
+    "FROM metadata_rows WHERE is_test"
+)
+ORACLES["q_soc_report"] = with_parts("full_score", "text_rows", "metadata_rows") + """
+, chosen AS (SELECT row_key, label, text_combined, p FROM full_score WHERE is_test ORDER BY p DESC, row_key LIMIT 1)
+, t AS (SELECT string_agg(term, '|' ORDER BY rank) AS l, string_agg(term, ', ' ORDER BY rank) FILTER (WHERE rank <= 3) AS s
+  FROM text_rows WHERE rank <= 10 AND row_key IN (SELECT row_key FROM chosen))
+, o AS (SELECT feature, row_number() OVER (ORDER BY abs(contribution) DESC, position) AS rank FROM metadata_rows
+  WHERE row_key IN (SELECT row_key FROM chosen))
+, m AS (SELECT string_agg(feature, '|' ORDER BY rank) AS l, string_agg(feature, ', ' ORDER BY rank) FILTER (WHERE rank <= 3) AS s FROM o)
+SELECT substr(text_combined, 1, 700) AS original_email_preview, label AS true_label,
+  CAST(p > 0.5 AS INTEGER) AS predicted_label, CASE WHEN p > 0.5 THEN 'phishing' ELSE 'legitimate' END AS predicted_class,
+  round(p, 6) AS phishing_probability, round(p * 100, 6) AS risk_score, """ + sql.risk_level("p * 100") + """ AS risk_level,
+  format('The model assigns {:.3f} phishing probability. Top text drivers include {}; top metadata drivers include {}. Review the message body, links, and sender context before action.',
+    p, coalesce(t.s, 'no active text terms'), coalesce(m.s, 'no metadata signals')) AS soc_explanation,
+  coalesce(t.l, '') AS top_text_terms, coalesce(m.l, '') AS top_metadata_features
+FROM chosen, t, m"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 from mailrisk.functions import labels, links, text
 from mailrisk.functions.entities import decode_entities
 from mailrisk.functions.mail import parse_mail
-from mailrisk.operators import dedup, features, profile, split, standardize, terms
-from mailrisk.plans import standardization
+from mailrisk.operators import (
+    bayes, dedup, evaluate, explain, features, linear, profile, similarity, split, standardize, terms,
+)
+from mailrisk.plans import standardization, training
+from mailrisk.session import write_stage
 from mailrisk.sources import tables as loading
 from workload import tables
 
@@ -243,3 +247,221 @@ def q_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     mails, model = fitted_terms(spark, sf_dir)
     weights = terms.long_weights(model.vectorize(mails), ("row_key",))
     return rounded(weights, "weight")
+
+
+# --- evaluation on scores derived from features ------------------------------
+
+
+def feature_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three simple scores per mail as if they were models."""
+    mails = features.model_input(tables.mails(spark, sf_dir), keep=("row_key", "label", "source_file"))
+    scores = F.array(
+        F.struct(F.lit("by_links").alias("model"), (F.col("n_links") / (F.col("n_links") + 1.0)).alias("score")),
+        F.struct(F.lit("by_length").alias("model"), (F.col("body_len") / (F.col("body_len") + 1500.0)).alias("score")),
+        F.struct(F.lit("by_subject").alias("model"), ((F.col("subject_len") % 100) / 100.0).alias("score")),
+    )
+    return mails.select("row_key", "label", "text_combined", F.inline(scores)).withColumn(
+        "predicted_label", (F.col("score") >= 0.5).cast("int")
+    )
+
+
+@query
+def q_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = evaluate.evaluate(feature_predictions(spark, sf_dir))
+    return rounded(metrics, *evaluate.METRICS)
+
+
+@query
+def q_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.confusion_counts(feature_predictions(spark, sf_dir))
+
+
+@query
+def q_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(evaluate.roc_points(feature_predictions(spark, sf_dir)), "threshold", "fpr", "tpr", digits=9)
+
+
+@query
+def q_pr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = evaluate.pr_points(feature_predictions(spark, sf_dir))
+    return rounded(points, "threshold", "precision", "recall", "baseline", digits=9)
+
+
+@query
+def q_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = evaluate.with_rates(evaluate.confusion_counts(feature_predictions(spark, sf_dir)))
+    return rounded(evaluate.best_model(counts), "f1")
+
+
+def _links_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feature_predictions(spark, sf_dir).where(F.col("model") == "by_links")
+
+
+@query
+def q_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(evaluate.error_samples(_links_only(spark, sf_dir)), "phishing_probability")
+
+
+@query
+def q_sample_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = evaluate.sample_predictions(_links_only(spark, sf_dir))
+    return rounded(samples, "phishing_probability", "risk_score")
+
+
+EXPERIMENTS = (
+    ("src1_src2_to_src3", ("src1", "SRC2"), ("src3",)),
+    ("src4_to_src5", ("src4",), ("src5",)),
+    ("absent_to_src5", ("absent",), ("src5",)),
+)
+
+
+@query
+def q_source_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mails = tables.mails(spark, sf_dir)
+    return mails.select(
+        "row_key", "source_file",
+        *(evaluate.source_mask(train).alias(f"in_{name}") for name, train, _ in EXPERIMENTS),
+    )
+
+
+@query
+def q_holdout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.holdout_counts(tables.mails(spark, sf_dir), EXPERIMENTS)
+
+
+# --- vectors, naive Bayes, near duplicates -----------------------------------
+
+
+@query
+def q_scaled_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mails = split_mails(spark, sf_dir)
+    raw = features.model_input(mails, keep=("row_key", "is_test"))
+    scaler = linear.fit_scaler(raw.where(~F.col("is_test")))
+    scaled = linear.with_scaled_features(raw, scaler).select("row_key", *features.METADATA_FEATURES)
+    return rounded(scaled, *features.METADATA_FEATURES)
+
+
+def vector_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, terms.TermModel]:
+    """Split mails with TF-IDF vectors and features, written once."""
+
+    def build(spark: SparkSession, sf_dir: str):
+        return training.prepare(split_mails(spark, sf_dir))
+
+    prepared = tables._staged("vectors", build, spark, sf_dir)
+    return prepared.vectors, prepared.terms
+
+
+def bayes_model(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, linear.LinearModel]:
+    vectors, model = vector_table(spark, sf_dir)
+    train = vectors.where(~F.col("is_test"))
+    return vectors, bayes.fit_naive_bayes(train, model, loading.class_counts(train))
+
+
+@query
+def q_naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, model = bayes_model(spark, sf_dir)
+    scored = model.predict(vectors.where("is_test"))
+    return rounded(scored.select("row_key", "label", "predicted_label", "score"), "score")
+
+
+@query
+def q_naive_bayes_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, model = bayes_model(spark, sf_dir)
+    return rounded(model.coefficient_table(spark).select("feature", "coefficient"), "coefficient")
+
+
+def _similarities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    vectors, model = vector_table(spark, sf_dir)
+    keep = vectors.select("row_key", "is_test", "indices", "weights")
+    train, test = keep.where(~F.col("is_test")), keep.where("is_test")
+    return similarity.max_similarity(train, test, model), train
+
+
+@query
+def q_max_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_similarities(spark, sf_dir)[0], "max_similarity")
+
+
+@query
+def q_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    similarities, train = _similarities(spark, sf_dir)
+    check = similarity.near_duplicate_check(write_stage(similarities, "similarities"), train.count())
+    return rounded(check, *(c for c in check.columns if "similarity" in c and not c.startswith("count")))
+
+
+# --- scoring and explanation with a closed-form linear model -----------------
+
+
+def closed_form_model(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, linear.LinearModel]:
+    """Naive Bayes term weights plus metadata weights from class means.
+
+    Every coefficient is an aggregate of the training mails, so SQL can follow
+    scores and explanations exactly.
+    """
+    vectors, text_model = bayes_model(spark, sf_dir)
+    train = vectors.where(~F.col("is_test"))
+    scaler = linear.fit_scaler(train)
+    scaled = linear.with_scaled_features(train, scaler)
+    means = scaled.agg(
+        *(
+            (F.avg(F.when(F.col("label") == 1, F.col(n))) - F.avg(F.when(F.col("label") == 0, F.col(n)))).alias(n)
+            for n in features.METADATA_FEATURES
+        )
+    ).first()
+    model = dataclasses.replace(
+        text_model, name="closed_form", scaler=scaler,
+        metadata_coefficients=[means[n] for n in features.METADATA_FEATURES],
+    )
+    return vectors, model
+
+
+@query
+def q_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, model = closed_form_model(spark, sf_dir)
+    scored = explain.score_mails(vectors.where("is_test"), model)
+    return rounded(
+        scored.select("row_key", "predicted_label", "prediction", "phishing_probability", "risk_score", "risk_level"),
+        "phishing_probability", "risk_score",
+    )
+
+
+@query
+def q_global_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, model = closed_form_model(spark, sf_dir)
+    return rounded(explain.global_indicators(spark, model), "coefficient")
+
+
+@query
+def q_metadata_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, model = closed_form_model(spark, sf_dir)
+    return rounded(explain.metadata_coefficients(spark, model), "coefficient")
+
+
+@query
+def q_explain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, model = closed_form_model(spark, sf_dir)
+    explained = vectors.where("is_test").select("row_key", explain.text_contributions(model).alias("t"))
+    rows = explained.select("row_key", F.posexplode_outer("t").alias("position", "e")).where("e is not null")
+    rows = rows.select("row_key", (F.col("position") + 1).alias("rank"), "e.term", "e.tfidf_value", "e.coefficient", "e.contribution")
+    return rounded(rows, "tfidf_value", "coefficient", "contribution")
+
+
+@query
+def q_explain_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, model = closed_form_model(spark, sf_dir)
+    explained = vectors.where("is_test").select("row_key", explain.metadata_contributions(model).alias("m"))
+    rows = explained.select("row_key", F.inline("m"))
+    return rounded(rows, "raw_value", "scaled_value", "coefficient", "contribution")
+
+
+@query
+def q_soc_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, model = closed_form_model(spark, sf_dir)
+    report = explain.soc_report(vectors.where("is_test"), model)
+    flat = report.withColumns(
+        {
+            "top_text_terms": F.array_join("top_text_contributions.term", "|"),
+            "top_metadata_features": F.array_join("top_metadata_contributions.feature", "|"),
+        }
+    ).drop("top_text_contributions", "top_metadata_contributions")
+    return rounded(flat, "phishing_probability", "risk_score")
