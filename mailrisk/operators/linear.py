@@ -102,9 +102,8 @@ class LinearModel:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Write the model as two small parquet tables."""
-        self.terms.table(spark).withColumn(
-            "coefficient", F.get(literal_array(self.coefficients), F.col("term_id"))
-        ).coalesce(1).write.mode("overwrite").parquet(f"{path}/terms")
+        table = self.terms.arrow().append_column("coefficient", pa.array(self.coefficients, pa.float64()))
+        spark.createDataFrame(table).coalesce(1).write.mode("overwrite").parquet(f"{path}/terms")
         header = {
             "name": self.name, "intercept": self.intercept, "has_probability": self.has_probability,
             "n_documents": self.terms.n_documents,

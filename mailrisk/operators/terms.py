@@ -130,8 +130,7 @@ class TermModel:
         """Smooth inverse document frequency."""
         return [math.log((1 + self.n_documents) / (1 + df)) + 1.0 for df in self.df]
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        """``term_id, term, total_tf, df, idf``; at most ``MAX_TERMS`` rows."""
+    def arrow(self) -> pa.Table:
         columns = {
             "term_id": pa.array(range(self.size), pa.int32()),
             "term": pa.array(self.terms, pa.string()),
@@ -139,7 +138,11 @@ class TermModel:
             "df": pa.array(self.df, pa.int64()),
             "idf": pa.array(self.idf, pa.float64()),
         }
-        return spark.createDataFrame(pa.table(columns))
+        return pa.table(columns)
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """``term_id, term, total_tf, df, idf``; at most ``MAX_TERMS`` rows."""
+        return spark.createDataFrame(self.arrow())
 
     def counter(self) -> CountVectorizerModel:
         """JVM counter of vocabulary terms.

@@ -106,21 +106,22 @@ _LINES = (
     "unnest(range(1, len(ls) + 1)) AS i FROM split_mail))"
 )
 _FEATURE_LINK_RAW = rf"(?i)(?:https?://|www\.)[^{sql.SPACE}<>''\")]+"
-ORACLES["q_parse_email"] = with_parts("pasted_mails") + (
-    f", {_LINES}, {_lifted('subject', 'subject')}, {_lifted('from', 'sender')}, "
+sql.PARTS["parsed"] = (
+    f"WITH {_LINES}, {_lifted('subject', 'subject')}, {_lifted('from', 'sender')}, "
     "rest AS (SELECT l.conv_id, l.turn, string_agg(line, chr(10) ORDER BY i) AS b FROM lines l "
     "LEFT JOIN subject_at s USING (conv_id, turn) LEFT JOIN sender_at f USING (conv_id, turn) "
     f"WHERE NOT ({_HEADER.format(s='stripped', p='subject')} AND i <= coalesce(s.at, 1000000000)) "
     f"AND NOT ({_HEADER.format(s='stripped', p='from')} AND i <= coalesce(f.at, 1000000000)) GROUP BY ALL), "
-    "joined AS (SELECT m.conv_id, m.turn, coalesce(s.v, '') AS subject, coalesce(f.v, '') AS sender, "
+    "joined AS (SELECT m.conv_id, m.turn, m.mail, coalesce(s.v, '') AS subject, coalesce(f.v, '') AS sender, "
     f"CASE WHEN {sql.strip('''coalesce(r.b, '')''')} <> '' THEN {sql.strip('r.b')} ELSE m.mail END AS body, "
     f"array_to_string(regexp_extract_all(m.mail, '{_FEATURE_LINK_RAW}'), ' ') AS urls FROM split_mail m "
     "LEFT JOIN subject_at s USING (conv_id, turn) LEFT JOIN sender_at f USING (conv_id, turn) "
     "LEFT JOIN rest r USING (conv_id, turn)) "
-    "SELECT conv_id, turn, subject, body, urls, sender, "
+    "SELECT conv_id, turn, mail, subject, body, urls, sender, "
     f"{sql.strip('''array_to_string(list_filter([subject, body, urls], lambda p: p <> ''), ' ')''')} AS text_combined "
-    "FROM joined"
+    "FROM joined"    , ("pasted_mails",),
 )
+ORACLES["q_parse_email"] = with_parts("parsed") + "SELECT * EXCLUDE (mail) FROM parsed"
 
 ORACLES["q_class_distribution"] = with_parts("usable") + (
     "SELECT CAST(l AS INTEGER) AS label, (SELECT count(*) FROM usable WHERE label = l) AS row_count "
@@ -428,3 +429,51 @@ SELECT substr(text_combined, 1, 700) AS original_email_preview, label AS true_la
     p, coalesce(t.s, 'no active text terms'), coalesce(m.s, 'no metadata signals')) AS soc_explanation,
   coalesce(t.l, '') AS top_text_terms, coalesce(m.l, '') AS top_metadata_features
 FROM chosen, t, m"""
+
+# Pasted mails scored with the closed-form model.
+sql.PARTS["pasted_features"] = (
+    sql.feature_columns("parsed", sql.MAIL_PART_COLUMNS, "conv_id, turn, mail"), ("parsed",),
+)
+sql.PARTS["pasted_words"] = (
+    f"SELECT conv_id, turn, list_filter(string_split({sql.clean_text('text_combined')}, ' '), "
+    "lambda w: length(w) >= 2) AS ws FROM pasted_features",
+    ("pasted_features",),
+)
+sql.PARTS["pasted_weights"] = (
+    "SELECT conv_id, turn, term, (1 + ln(tf)) * idf AS w FROM (SELECT conv_id, turn, term, count(*) AS tf FROM ("
+    "SELECT conv_id, turn, unnest(list_concat(ws, [ws[i] || ' ' || ws[i + 1] for i in range(1, greatest(len(ws), 1))])) "
+    "AS term FROM pasted_words) GROUP BY ALL) JOIN vocabulary USING (term)",
+    ("pasted_words", "vocabulary"),
+)
+sql.PARTS["pasted_text"] = (
+    "SELECT conv_id, turn, sum(w * coefficient) / sqrt(sum(w * w)) AS total FROM pasted_weights "
+    "JOIN odds USING (term) GROUP BY conv_id, turn",
+    ("pasted_weights", "odds"),
+)
+sql.PARTS["pasted_scores"] = (
+    "SELECT conv_id, turn, mail, 1 / (1 + exp(-(coalesce(total, 0) + "
+    "(SELECT ln(sum(label)) - ln(count(*) - sum(label)) FROM split WHERE NOT is_test) + "
+    + " + ".join(
+        f"({f} - m_{f}) / s_{f} * (SELECT coefficient FROM metadata_weights WHERE feature = '{f}')"
+        for f in _FEATURES
+    )
+    + "))) AS p FROM pasted_features LEFT JOIN pasted_text USING (conv_id, turn), moments",
+    ("pasted_features", "pasted_text", "split", "moments", "metadata_weights"),
+)
+_BLANK = f"{sql.strip('mail')} = ''"
+ORACLES["q_score_pasted"] = with_parts("pasted_scores") + (
+    f"SELECT conv_id, turn, CASE WHEN NOT {_BLANK} THEN CAST(p >= 0.7 AS INTEGER) END AS predicted_label, "
+    f"CASE WHEN {_BLANK} THEN NULL WHEN p >= 0.7 THEN 'phishing' ELSE 'legitimate' END AS prediction, "
+    f"CASE WHEN NOT {_BLANK} THEN round(p, 6) END AS phishing_probability, "
+    f"CASE WHEN NOT {_BLANK} THEN round(p * 100, 6) END AS risk_score, "
+    f"CASE WHEN NOT {_BLANK} THEN {sql.risk_level('p * 100')} END AS risk_level, "
+    f"CASE WHEN {_BLANK} THEN 'Email text cannot be empty.' END AS error FROM pasted_scores"
+)
+ORACLES["q_score_stream"] = ORACLES["q_score_pasted"]
+ORACLES["q_model_roundtrip"] = with_parts("full_score") + (
+    "SELECT row_key, round(p, 6) AS phishing_probability FROM full_score WHERE is_test"
+)
+ORACLES["q_csv_ingest"] = with_parts("usable") + (
+    "SELECT sender, receiver, date, subject, body, urls, text_combined, label FROM usable"
+)
+ORACLES["q_sinks"] = with_parts("mails") + "SELECT row_key, source_file, label, text_combined FROM mails"

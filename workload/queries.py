@@ -12,11 +12,14 @@ from mailrisk.functions import labels, links, text
 from mailrisk.functions.entities import decode_entities
 from mailrisk.functions.mail import parse_mail
 from mailrisk.operators import (
-    bayes, dedup, evaluate, explain, features, linear, profile, similarity, split, standardize, terms,
+    bayes, dedup, evaluate, explain, features, learners, linear, profile, similarity, split,
+    standardize, svd, terms,
 )
 from mailrisk.plans import standardization, training
-from mailrisk.session import write_stage
+from mailrisk.session import new_folder, write_stage
+from mailrisk.sources import csv, sinks
 from mailrisk.sources import tables as loading
+from mailrisk.streaming import scoring
 from workload import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -465,3 +468,132 @@ def q_soc_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     ).drop("top_text_contributions", "top_metadata_contributions")
     return rounded(flat, "phishing_probability", "risk_score")
+
+
+@query
+def q_score_pasted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse, vectorize and score pasted mails in batch."""
+    _, model = closed_form_model(spark, sf_dir)
+    scored = scoring.score_pasted(tables.pasted_mails(spark, sf_dir), "mail", model, ("conv_id", "turn"))
+    return rounded(scored, "phishing_probability", "risk_score")
+
+
+@query
+def q_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same scores from a file stream over all conversations."""
+    _, model = closed_form_model(spark, sf_dir)
+    schema = spark.read.parquet(f"{sf_dir}/conversations.parquet").schema
+    arriving = (
+        spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
+    )
+    pasted = tables.pasted_mails_from(arriving)
+    folder = new_folder(spark, "stream")
+    running = scoring.start_scoring(
+        pasted, "mail", model, ("conv_id", "turn"), f"{folder}/scores", f"{folder}/checkpoint"
+    )
+    running.awaitTermination()
+    return rounded(spark.read.parquet(f"{folder}/scores"), "phishing_probability", "risk_score")
+
+
+@query
+def q_explain_pasted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores with both explanation lists, as JSON per mail."""
+    _, model = closed_form_model(spark, sf_dir)
+    scored = scoring.score_pasted(
+        tables.pasted_mails(spark, sf_dir), "mail", model, ("conv_id", "turn"), explain=True
+    )
+    return scored.withColumns(
+        {name: F.to_json(name) for name in ("top_phishing_terms", "metadata_contributions")}
+    )
+
+
+# --- iterative learners ------------------------------------------------------
+
+
+def trained(spark: SparkSession, sf_dir: str) -> training.Prepared:
+    vector_table(spark, sf_dir)
+    return tables._staged("vectors", None, spark, sf_dir)
+
+
+def _scores(spark: SparkSession, sf_dir: str, *models) -> DataFrame:
+    return training.predictions(models, trained(spark, sf_dir).test)
+
+
+@query
+def q_lr_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared = trained(spark, sf_dir)
+    model = learners.fit_logistic(prepared.train, prepared.terms, prepared.counts)
+    return _scores(spark, sf_dir, model)
+
+
+@query
+def q_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared = trained(spark, sf_dir)
+    return _scores(spark, sf_dir, learners.fit_linear_svm(prepared.train, prepared.terms, prepared.counts))
+
+
+@query
+def q_lr_text_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(spark, sf_dir, training.fit_final_model(trained(spark, sf_dir)))
+
+
+@query
+def q_svd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared = trained(spark, sf_dir)
+    model = svd.fit_svd(prepared.train, prepared.terms.size)
+    return model.transform(prepared.test.select("row_key", "indices", "weights")).select("row_key", "components")
+
+
+@query
+def q_random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared = trained(spark, sf_dir)
+    model = learners.fit_forest(prepared.train, prepared.terms, prepared.counts, prepared.scaler)
+    return _scores(spark, sf_dir, model)
+
+
+@query
+def q_dedup_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    usable = standardize.usable_rows(tables.standardized(spark, sf_dir))
+    return training.cleaned_dedup_benchmark(loading.load_for_training(usable))
+
+
+@query
+def q_source_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training.source_holdout(tables.mails(spark, sf_dir), EXPERIMENTS)
+
+
+@query
+def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a saved and reloaded model."""
+    vectors, model = closed_form_model(spark, sf_dir)
+    folder = new_folder(spark, "model")
+    sinks.write_model(model, folder)
+    scored = explain.score_mails(vectors.where("is_test"), linear.load_linear_model(spark, folder))
+    return rounded(scored.select("row_key", "phishing_probability"), "phishing_probability")
+
+
+# --- CSV in and out ----------------------------------------------------------
+
+
+@query
+def q_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the raw feeds as CSV folders, read them back and standardize them."""
+    folder = new_folder(spark, "raw-csv")
+    for i, feed in enumerate(tables.feeds(spark, sf_dir)):
+        plain = feed.drop("_source_file").withColumnRenamed("_row_key", "Row Id")
+        sinks.write_csv(plain, f"{folder}/feed{i}")
+    feeds = csv.read_feeds(spark, folder)
+    standard = standardize.standardize_feeds(spark, feeds)
+    mails = standardize.usable_rows(write_stage(standard, "csv-standardized"))
+    return mails.select("sender", "receiver", "date", "subject", "body", "urls", "text_combined", "label")
+
+
+@query
+def q_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mail table written as CSV and read back by the loader of the training step."""
+    folder = new_folder(spark, "sink")
+    sinks.write_csv(tables.mails(spark, sf_dir), folder)
+    (feed,) = csv.read_feeds(spark, folder)
+    return loading.load_for_training(feed.drop("_row_key", "_source_file")).select(
+        F.col("row_key").cast("long").alias("row_key"), "source_file", "label", "text_combined"
+    )

@@ -112,7 +112,14 @@ def raw_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pasted_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, sf_dir, PASTED_MAILS, "conversations")
+    return pasted_mails_from(table(spark, sf_dir, "conversations"))
+
+
+def pasted_mails_from(conversations: DataFrame) -> DataFrame:
+    """Pasted mails of a conversation table or stream."""
+    return conversations.sparkSession.sql(
+        _with_placeholders(PASTED_MAILS, ("conversations",)), conversations=conversations
+    )
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
