@@ -7,6 +7,7 @@ both are then read together as one feed of string columns.
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -29,29 +30,40 @@ _ROWS_PER_FILE_BITS = 33
 
 @dataclass(frozen=True)
 class FileFacts:
+    """``location`` is the path as the reader reports it per row."""
+
     path: str
+    location: str
     position: int
     header: tuple[str, ...]
     encoding: str
 
 
-def list_files(spark: SparkSession, folder: str) -> list[str]:
-    """All CSV files below a folder, sorted by path; file contents are not read."""
+def list_files(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """``(path, reported path)`` of all CSV files below a folder, sorted by path.
+
+    File contents are not read. Reported paths are encoded differently.
+    """
     found = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(folder)
-        .select("path").collect()
+        .select("path", "_metadata.file_path").collect()
     )
-    return sorted(row["path"] for row in found)
+    return sorted((row["path"], row["file_path"]) for row in found)
+
+
+def _literal(path: str) -> str:
+    """Path whose pattern characters stand for themselves."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
 def _invalid_utf8(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Files with a line that is not UTF-8, in one scan with map-side merging."""
+    """Reported paths of files with a line that is not UTF-8; one scan."""
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("valid")
+        F.col("_metadata.file_path").alias("location"), F.is_valid_utf8("value").alias("valid")
     )
-    flagged = lines.where(~F.col("valid")).select("path").distinct()
-    return {row["path"] for row in flagged.collect()}
+    flagged = lines.where(~F.col("valid")).select("location").distinct()
+    return {row["location"] for row in flagged.collect()}
 
 
 def _header(spark: SparkSession, path: str, encoding: str) -> tuple[str, ...]:
@@ -73,17 +85,18 @@ def _decoded_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
 
 def file_facts(spark: SparkSession, folder: str) -> list[FileFacts]:
     """Header and encoding of every file. Headers come from short parallel jobs."""
-    paths = list_files(spark, folder)
-    if not paths:
+    files = list_files(spark, folder)
+    if not files:
         return []
     _allow_windows_encoding(spark)
+    paths = [_literal(path) for path, _ in files]
     other = _invalid_utf8(spark, paths)
-    encodings = [WINDOWS if path in other else UTF8 for path in paths]
+    encodings = [WINDOWS if location in other else UTF8 for _, location in files]
     with ThreadPoolExecutor(16) as pool:
         headers = list(pool.map(lambda pair: _header(spark, *pair), zip(paths, encodings)))
     return [
-        FileFacts(path, position, header, encoding)
-        for position, (path, header, encoding) in enumerate(zip(paths, headers, encodings))
+        FileFacts(path, location, position, header, encoding)
+        for position, ((path, location), header, encoding) in enumerate(zip(files, headers, encodings))
         if header
     ]
 
@@ -109,27 +122,27 @@ def read_feed(spark: SparkSession, files: list[FileFacts]) -> DataFrame:
     names = [f"c{i}" for i in range(len(header))]
     schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, _RAW]])
     rows = spark.read.csv(
-        [facts.path for facts in files], schema=schema, header=True, enforceSchema=True,
+        [_literal(facts.path) for facts in files], schema=schema, header=True, enforceSchema=True,
         multiLine=True, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW,
         encoding=encoding, maxCharsPerColumn=-1,
     )
     positions = spark.createDataFrame(
-        [(facts.path, facts.position) for facts in files], "_path string, _position long"
+        [(facts.location, facts.position, facts.path.rsplit("/", 1)[-1]) for facts in files],
+        f"_location string, _position long, {SOURCE} string",
     )
     in_file = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROWS_PER_FILE_BITS) - 1))
     located = rows.select(
         "*",
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_name").alias(SOURCE),
+        F.col("_metadata.file_path").alias("_location"),
         in_file.alias("_in_file"),
     )
     fitting = located.where(F.col(_RAW).isNull() | (_field_count(F.col(_RAW)) <= len(header)))
     cells = [
         F.when(~F.col(name).isin(*MISSING_CELLS), F.col(name)).alias(name) for name in names
     ]
-    keyed = fitting.join(positions, "_path").select(
+    keyed = fitting.join(positions, "_location").select(
         (F.shiftleft("_position", _ROWS_PER_FILE_BITS) + F.col("_in_file")).alias(ROW_KEY),
-        F.url_decode(SOURCE).alias(SOURCE),
+        SOURCE,
         *cells,
     )
     return keyed.toDF(ROW_KEY, SOURCE, *header)
