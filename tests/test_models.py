@@ -140,7 +140,8 @@ def dense(prepared):
     return x, y, np.array([weights[row.label] for row in rows])
 
 
-def test_logistic_and_svm_reach_the_minimum(prepared):
+def test_logistic_and_svm_reach_the_minimum(prepared, monkeypatch):
+    monkeypatch.setattr(descent, "_TOLERANCE", 1e-6)
     x, y, c = dense(prepared)
     model = learners.fit_logistic(prepared.train, prepared.terms, prepared.counts)
     w = np.array(model.coefficients)
@@ -158,6 +159,7 @@ def test_sums_in_two_levels_equal_direct_sums(prepared, monkeypatch):
     from mailrisk.operators import sums
 
     rows = prepared.train.repartition(6).select("label", F.lit(1.0).alias("class_weight"), "indices", F.col("weights").alias("values"))
+    rows = descent.pack(rows)
     point = np.linspace(-1, 1, prepared.terms.size + 1)
     direct = descent._pass(rows, 6, descent.logistic, point)
     monkeypatch.setattr(sums, "_DIRECT_BYTES", 0)
