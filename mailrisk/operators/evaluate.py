@@ -1,6 +1,7 @@
 """Confusion counts, rates, ranking metrics, curves, samples and holdout rows.
 
-Predictions are rows of ``model, row_key, label, predicted_label, score``.
+Predictions are rows of ``model, row_key, label, predicted_label, score``, best a
+written table: ranking metrics read them a few times.
 """
 
 from __future__ import annotations

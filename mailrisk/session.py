@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -27,6 +29,12 @@ def build_session(app_name: str = "mailrisk", master: str | None = None, **setti
     return builder.getOrCreate()
 
 
+def ship_with_tasks(module: str) -> None:
+    """Send the functions of a module along with tasks, so that executors need
+    no installed copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 

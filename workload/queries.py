@@ -256,16 +256,16 @@ def q_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three simple scores per mail as if they were models."""
+    """Three simple scores per mail as if they were models, written once for the metrics."""
     mails = features.model_input(tables.mails(spark, sf_dir), keep=("row_key", "label", "source_file"))
     scores = F.array(
         F.struct(F.lit("by_links").alias("model"), (F.col("n_links") / (F.col("n_links") + 1.0)).alias("score")),
         F.struct(F.lit("by_length").alias("model"), (F.col("body_len") / (F.col("body_len") + 1500.0)).alias("score")),
         F.struct(F.lit("by_subject").alias("model"), ((F.col("subject_len") % 100) / 100.0).alias("score")),
     )
-    return mails.select("row_key", "label", "text_combined", F.inline(scores)).withColumn(
-        "predicted_label", (F.col("score") >= 0.5).cast("int")
-    )
+    scored = mails.select("row_key", "label", "text_combined", F.inline(scores))
+    guess = (F.col("score") >= 0.5).cast("int")
+    return write_stage(scored.withColumn("predicted_label", guess), "feature-predictions")
 
 
 @query
