@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -58,9 +59,28 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/mailrisk/{name}-{uuid.uuid4().hex}"
 
 
-def write_stage(df: DataFrame, name: str, schema=None) -> DataFrame:
-    """Write ``df`` once and read it back: cuts lineage, survives lost executors."""
+@dataclass(frozen=True)
+class Stage:
+    """A written intermediate table and the folder that holds it."""
+
+    rows: DataFrame
+    path: str
+
+    def remove(self) -> None:
+        """Delete the folder; call it once nothing lazy reads ``rows`` any more."""
+        spark = self.rows.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def new_stage(df: DataFrame, name: str, schema=None) -> Stage:
+    """Write ``df`` once; reading it back cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(schema or df.schema).parquet(path)
+    return Stage(spark.read.schema(schema or df.schema).parquet(path), path)
+
+
+def write_stage(df: DataFrame, name: str, schema=None) -> DataFrame:
+    """``new_stage`` for a table that the result reads, so that it has to stay."""
+    return new_stage(df, name, schema).rows
