@@ -51,6 +51,11 @@ def covered(intervals: Column) -> Column:
     return merged["total"]
 
 
+def prefixed(df: DataFrame, prefix: str) -> DataFrame:
+    """All columns renamed, for joins of tables that come from the same one."""
+    return df.select(*(F.col(f"`{name}`").alias(prefix + name) for name in df.columns))
+
+
 def same_row(left: DataFrame, right: DataFrame, *names: str) -> Column:
     """Null-safe equality of row keys: a null id equals a null id."""
     condition = F.lit(True)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailrisk.llm import quality
+from mailrisk.llm import chat, contamination, minhash, quality, secrets, sharding, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +31,77 @@ def op1_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed_lines", "n_removed_words",
     )
     return quality.judge_documents(documents).select("doc_id", *(F.col(f"quality.{name}") for name in names))
+
+
+@query
+def op3_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = secrets.scan_documents(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda span: span["kind"].isin(*secrets.BASE))
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda span: span["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return scanned.select(
+        "doc_id", *(number(kind) for kind in secrets.BASE),
+        F.sha2(secrets.span_list(base), 256).alias("base_sha256"), secrets.span_list(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op4_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], given.schema)
+    formatted = chat.format_paths(chat.best_paths(chat.chains(given.unionByName(probe))))
+    read = formatted.select(
+        "tree", "formatted",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.masked_text(F.col("formatted"), F.col("mask")).alias("loss"),
+    )
+    said = F.array_join(F.transform("turns", lambda turn: F.concat(turn["role"], F.lit("\n"), turn["text"], F.lit("\n"))), "")
+    return read.select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokens.count_tokens(documents, public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select("doc_id", "tokens.n_bytes", "tokens.n_tokens", "tokens.over_limit")
+
+
+@query
+def op6_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.group_documents(documents, minhash.Similarity(words=4, percent=80))
+
+
+@query
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.cut_documents(documents).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op8_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = contamination.judge_documents(documents, table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    sharded = sharding.shard_documents(
+        documents.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")))), shards=40
+    )
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
