@@ -61,10 +61,10 @@ def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
         if len(words) >= size:
             sets.append(np.unique(joined[start : end - size + 1]))
             continue
-        whole = np.uint64(len(words)) * np.uint64(_GOLDEN)  # apart from all longer ones
-        for value in hashes[start:end]:
-            whole = mix(np.array([whole], np.uint64))[0] + value
-        sets.append(mix(np.array([whole], np.uint64)) if words else np.empty(0, np.uint64))
+        whole = np.full(1, len(words), np.uint64) * np.uint64(_GOLDEN)  # apart from all longer ones
+        for at in range(start, end):
+            whole = mix(whole) + hashes[at]
+        sets.append(mix(whole) if words else np.empty(0, np.uint64))
     return sets
 
 

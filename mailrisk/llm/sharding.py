@@ -94,28 +94,23 @@ class Node:
         self.children = [Node(self.first, half), Node(self.first + half, self.shards - half)]
 
 
-def _by_node(values: dict[int, object], default) -> Column:
-    """A literal per node, looked up by the row's ``_node``."""
-    result = default
-    for node, value in values.items():
-        result = F.when(F.col("_node") == node, value).otherwise(result)
-    return result
+def _lookup(values: dict[int, object], default) -> Column:
+    """The value of the row's ``_node``, from one literal array."""
+    return F.get(F.array(*(F.lit(values.get(node, default)) for node in range(max(values) + 1))), F.col("_node"))
 
 
-def _descend(points: DataFrame, column: dict[int, str], bits: int, aims: dict[int, float], within: dict[int, Column]):
-    """Per node the key value at which the running weight reaches its aim, the
-    weight below that value and the weight at it; 16 bits per pass."""
+def _descend(points: DataFrame, bits: int, aims: dict[int, float]):
+    """Per node the value of ``_at`` at which the running weight reaches its
+    aim, the weight below that value and the weight at it; 16 bits per pass."""
     found = {node: 0 for node in aims}
     below = {node: 0 for node in aims}
     here = {node: 0 for node in aims}
-    rows = points.filter(F.col("_node").isin(*aims) & _by_node(within, F.lit(False)))
-    keyed = rows.withColumn("_at", _by_node({node: F.col(name) for node, name in column.items()}, F.lit(None).cast("long")))
     for shift in range(bits - _DIGIT_BITS, -1, -_DIGIT_BITS):
-        above = F.shiftright("_at", shift + _DIGIT_BITS) == _by_node({n: F.lit(v) for n, v in found.items()}, F.lit(-1))
+        above = F.shiftright("_at", shift + _DIGIT_BITS) == _lookup(found, -1)
         digit = F.shiftright("_at", shift).bitwiseAND((1 << _DIGIT_BITS) - 1)
-        weights = keyed.filter(above).groupBy("_node", digit.alias("digit")).agg(F.sum("_size").alias("weight"))
+        weights = points.filter(above).groupBy("_node", digit.alias("digit")).agg(F.sum("_size").alias("weight"))
         so_far = F.sum("weight").over(Window.partitionBy("_node").orderBy("digit"))  # at most 65,536 rows a node
-        rest = _by_node({node: F.lit(float(aims[node] - below[node])) for node in aims}, F.lit(0.0))
+        rest = _lookup({node: float(aims[node] - below[node]) for node in aims}, 0.0)
         reached = weights.withColumn("total", so_far).filter(F.col("total") >= rest).groupBy("_node").agg(
             F.min(F.struct("digit", "total", "weight")).alias("hit")
         )
@@ -145,13 +140,17 @@ def fit_tree(points: DataFrame, shards: int, balance: Balance = Balance()) -> No
         span = span or {key: max([1, *(row[key] for row in stats.values())]) for key in keys}
         widest = {node: max(keys, key=lambda key: row[key] / span[key]) for node, row in stats.items()}
         aims = {node: row["weight"] * (open_nodes[node].shards // 2) / open_nodes[node].shards for node, row in stats.items()}
-        major, below, here = _descend(placed, widest, _MAJOR_BITS, aims, {node: F.lit(True) for node in aims})
+        own_key = F.get(F.array(*keys), _lookup({node: keys.index(key) for node, key in widest.items()}, None))
+        keyed = placed.select("_node", "_size", "_minor", own_key.alias("_at")).filter(F.col("_at").isNotNull())
+        major, below, here = _descend(keyed, _MAJOR_BITS, aims)
         leaf_bytes = {node: row["weight"] / open_nodes[node].shards for node, row in stats.items()}
         heavy = {node: aims[node] - below[node] for node in aims if here[node] > leaf_bytes[node] * balance.whole_share}
-        inside = {node: F.col(widest[node]) == major[node] for node in heavy}
-        minor, minor_below, minor_here = _descend(
-            placed, {node: "_minor" for node in heavy}, _MINOR_BITS, heavy, inside
-        ) if heavy else ({}, {}, {})
+        minor_below: dict = {}
+        if heavy:
+            group = keyed.filter(F.col("_at") == _lookup({node: major[node] for node in heavy}, -1))
+            minor, minor_below, minor_here = _descend(
+                group.select("_node", "_size", F.col("_minor").alias("_at")), _MINOR_BITS, heavy
+            )
         for node, leaf in open_nodes.items():
             if node not in aims:  # no rows
                 leaf.cut(keys[0], 0, 0)
