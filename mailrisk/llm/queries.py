@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailrisk.llm import chat, contamination, minhash, quality, secrets, sharding, substrings, tokens
+from mailrisk.llm import chat, contamination, minhash, mixing, quality, secrets, sharding, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,3 +105,19 @@ def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select(
+        "doc_id", mixing.quality_domain(F.col("quality"), F.col("toxic")).alias("domain")
+    )
+
+
+@query
+def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixture = mixing.Mixture({"good": 0.9, "poor": 0.08, "toxic": 0.02})
+    rated = mixing.rate_documents(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), domain_labels(spark, sf_dir), mixture
+    )
+    shares = (F.get("posterior", F.lit(at)).alias(f"p_{name}") for at, name in enumerate(sorted(mixture.weights)))
+    return rated.select("doc_id", "n_tokens", *shares, "rate")
