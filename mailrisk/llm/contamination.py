@@ -150,3 +150,13 @@ def judge_documents(documents: DataFrame, benchmark: DataFrame, rule: Overlap =
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
+
+
+def clean_documents(documents: DataFrame, benchmark: DataFrame, rule: Overlap = Overlap()) -> DataFrame:
+    """The rows of ``documents`` without an occurrence of any item window. The
+    found documents are few and known by id and text hash."""
+    found = occurrences(documents, benchmark, rule).select(
+        F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")
+    ).distinct()
+    hit = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_copy"))
+    return documents.join(found, hit, "left_anti")

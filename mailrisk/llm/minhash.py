@@ -106,7 +106,7 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _signed(documents: DataFrame, rule: Similarity) -> DataFrame:
-    """``doc_id, digest, n_shingles, bands``; a set is known by 128 bits of its shingles."""
+    """``doc_id, copy, digest, n_shingles, bands``; a set is known by 128 bits of its shingles."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in chunks(batches, "text"):
             sets = shingle_sets(texts, rule.words)
@@ -119,14 +119,16 @@ def _signed(documents: DataFrame, rule: Similarity) -> DataFrame:
                 digests[at] = hashlib.blake2b(sets[at].tobytes(), digest_size=16).digest()
             yield pa.RecordBatch.from_arrays(
                 [
-                    rows.column("doc_id"), pa.array(digests, pa.binary()),
+                    rows.column("doc_id"), rows.column("copy"), pa.array(digests, pa.binary()),
                     pa.array([len(one) for one in sets], pa.int64()), pa.array(bands, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "digest", "n_shingles", "bands"],
+                names=["doc_id", "copy", "digest", "n_shingles", "bands"],
             )
 
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, digest binary, n_shingles long, bands array<long>")
+    rows = documents.select(
+        F.col("doc_id").cast("long"), F.xxhash64("text").alias("copy"), F.col("text").cast("binary").alias("text")
+    )
+    return rows.mapInArrow(sign, "doc_id long, copy long, digest binary, n_shingles long, bands array<long>")
 
 
 def _sets_of(documents: DataFrame, wanted: DataFrame, rule: Similarity) -> Stage:
@@ -206,8 +208,9 @@ def near_links(classes: DataFrame, documents: DataFrame, rule: Similarity) -> Da
 
 
 def group_documents(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row. The component is
-    the smallest id reachable by links; its bearer is kept."""
+    """``doc_id, copy, n_shingles, component_id, kept`` for every row; ``copy`` is
+    a hash of the text. The component is the smallest id reachable by links; its
+    bearer is kept."""
     signed = write_stage(_signed(documents, rule), "signatures")
     classes = new_stage(
         signed.filter(F.col("digest").isNotNull()).groupBy("digest").agg(
@@ -224,6 +227,21 @@ def group_documents(documents: DataFrame, rule: Similarity = Similarity()) -> Da
     )
     classes.remove()
     component = F.coalesce("home", "doc_id")
-    return signed.select("doc_id", "digest", "n_shingles").join(home, "digest", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    return signed.select("doc_id", "copy", "digest", "n_shingles").join(home, "digest", "left").select(
+        "doc_id", "copy", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
+
+
+def keep_one(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
+    """The rows of ``documents`` that stand for their group, one row per id; rows
+    without an id are told apart by their text. Only what does repeat is looked
+    at for repetitions."""
+    own = F.when(F.col("doc_id").isNull(), F.col("copy"))
+    standing = group_documents(documents, rule).filter("kept").groupBy(
+        F.col("doc_id").alias("_id"), own.alias("_text_of")
+    ).agg(F.count(F.lit(1)).alias("_rows"))
+    told = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    kept = documents.join(standing, F.col("doc_id").eqNullSafe(F.col("_id")) & told.eqNullSafe(F.col("_text_of")))
+    single = kept.filter(F.col("_rows") == 1)
+    repeated = kept.filter(F.col("_rows") > 1).dropDuplicates(["_id", "_text_of"])
+    return single.unionByName(repeated).select(*(F.col(f"`{name}`") for name in documents.columns))

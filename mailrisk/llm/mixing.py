@@ -3,7 +3,8 @@
 A classifier learned from a labelled table gives every document a posterior over
 domains. Documents get nonnegative rates such that the expected tokens of each
 domain, ``sum(rate * tokens * posterior)``, come as near to the targets as they
-can, found by projected gradient steps from equal rates.
+can: the squared misses, each over the domain's present tokens, are lowered by
+projected gradient steps from equal rates.
 
 The gradient of a rate depends on the posterior alone, so documents of one
 posterior always have one rate. Posteriors are rounded to a grid for this and
@@ -23,17 +24,16 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
 from mailrisk.llm.contamination import folded_words
 from mailrisk.session import Stage, new_stage, write_stage
 
 _SIGNS = "#*$%&|<>!?"
 
 
-
 @dataclass(frozen=True)
 class Classifier:
     """Naive Bayes over the presence of words and three shape marks. It learns
@@ -61,8 +61,8 @@ class Mixture:
     anchor: str | None = None
     most_rate: float | None = None
     grid: int = 32
-    steps: int = 120
-    tolerance: float = 1e-6
+    steps: int = 40
+    tolerance: float = 1e-4
 
 
 def quality_domain(quality: Column, toxic: Column) -> Column:
@@ -210,18 +210,21 @@ def _rate(history: list[list[float]], step: float, most: float | None) -> Column
 def fit_rates(scored: DataFrame, domains: list[str], mixture: Mixture) -> DataFrame:
     """``cell, rate`` by projected gradient least squares.
 
-    Gradients are taken per token, so the curvature is at most the token total
-    of the longest posterior and the step is its inverse. A step is one sum over
-    the cells; only one number per domain comes to the driver.
+    Gradients are taken per token; the step is the inverse of the largest
+    curvature, from a matrix with one row per domain. A step is one sum over the
+    cells; only one number per domain comes to the driver.
     """
     cells = _cells(scored, len(domains), mixture.grid)
-    parts = [F.sum(F.get("mass", F.lit(at)) * F.col("rate")).alias(f"s{at}") for at in range(len(domains))]
+    places = range(len(domains))
+    masses = [F.get("mass", F.lit(at)) for at in places]
 
     def totals(rate: Column) -> list[float]:
-        row = cells.rows.withColumn("rate", rate).agg(*parts).first()
+        weighted = cells.rows.withColumn("rate", rate)
+        row = weighted.agg(*(F.sum(mass * F.col("rate")).alias(f"s{at}") for at, mass in zip(places, masses))).first()
         return [value or 0.0 for value in row]
 
     present = totals(F.lit(1.0))
+    scale = [max(tokens, 1.0) for tokens in present]
     weight = sum(mixture.weights.values())
     shares = [mixture.weights.get(name, 0.0) / weight for name in domains]
     if mixture.anchor is None:
@@ -230,17 +233,17 @@ def fit_rates(scored: DataFrame, domains: list[str], mixture: Mixture) -> DataFr
         own = domains.index(mixture.anchor)
         budget = present[own] / shares[own]
     aims = [share * budget for share in shares]
-    curvature = cells.rows.agg(
-        F.sum(F.aggregate("mass", F.lit(0.0), lambda total, one: total + one * one) / F.col("n"))
-    ).first()[0]
+    products = [F.sum(masses[a] * masses[b] / F.col("n")).alias(f"h{a}_{b}") for a in places for b in places]
+    bends = np.array([value or 0.0 for value in cells.rows.agg(*products).first()]).reshape(len(domains), -1)
+    curvature = float(np.linalg.eigvalsh(bends / np.sqrt(np.outer(scale, scale))).max())
     step = 1 / curvature if curvature else 0.0
     history: list[list[float]] = []
     last = math.inf
     for _ in range(mixture.steps if curvature else 0):
         sums = totals(_rate(history, step, mixture.most_rate))
-        residual = [total - aim for total, aim in zip(sums, aims)]
-        error = math.sqrt(sum(rest * rest for rest in residual)) / max(budget, 1.0)
-        if error < mixture.tolerance or abs(last - error) < mixture.tolerance * last * 0.1:
+        residual = [(total - aim) / tokens for total, aim, tokens in zip(sums, aims, scale)]
+        error = math.sqrt(sum(rest * rest * tokens for rest, tokens in zip(residual, scale)) / sum(scale))
+        if error < mixture.tolerance or last - error < mixture.tolerance * last:
             break
         history.append(residual)
         last = error

@@ -184,8 +184,10 @@ def judge_documents(documents: DataFrame, rules: LineRules = LineRules(), host:
 def filter_documents(documents: DataFrame, rules: LineRules = LineRules(), host: str = "source") -> DataFrame:
     """The documents that pass, without the removed lines. A column ``n_chars``
     follows the shortened text; a null text never passes."""
-    kept = judge_documents(documents, rules, host).filter("quality.kept")
-    shortened = kept.withColumn("text", F.col("quality.left"))
+    judged = judge_documents(documents, rules, host)
+    changed = {"text": F.col("quality.left"), "_kept": F.col("quality.kept")}
     if "n_chars" in documents.columns:
-        shortened = shortened.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return shortened.drop("quality")
+        changed["n_chars"] = F.length("quality.left").cast(documents.schema["n_chars"].dataType)
+    # Written before filtering: a pushed-down filter would repeat all measures per word.
+    done = write_stage(judged.withColumns(changed).drop("quality"), "judged")
+    return done.filter("_kept").drop("_kept")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,7 +77,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return minhash.group_documents(documents, minhash.Similarity(words=4, percent=80))
+    grouped = minhash.group_documents(documents, minhash.Similarity(words=4, percent=80))
+    return grouped.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query
@@ -121,3 +123,8 @@ def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     shares = (F.get("posterior", F.lit(at)).alias(f"p_{name}") for at, name in enumerate(sorted(mixture.weights)))
     return rated.select("doc_id", "n_tokens", *shares, "rate")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
