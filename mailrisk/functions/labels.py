@@ -11,6 +11,8 @@ from mailrisk.functions.text import SPACE, WORD, clean_value
 PHISHING_LABELS = ("phishing", "phish", "spam", "malicious", "bad", "true", "yes", "1")
 LEGITIMATE_LABELS = ("legitimate", "legit", "ham", "benign", "safe", "false", "no", "0")
 
+DECIMAL = rf"\A[{SPACE}]*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[{SPACE}]*\z"
+
 
 def normalize_label(value: Column) -> Column:
     """Return 0, 1 or null. One trailing ``.0`` and all punctuation are ignored."""
@@ -25,6 +27,9 @@ def normalize_label(value: Column) -> Column:
 
 
 def numeric_label(value: Column) -> Column:
-    """Read an already standardized 0/1 label; anything else becomes null."""
-    number = value.try_cast("double")
+    """Read an already standardized 0/1 label; anything else becomes null.
+
+    Only decimal numbers count: a cast alone also takes ``1d`` or ``0x1p0``.
+    """
+    number = F.when(value.cast("string").rlike(DECIMAL), value.try_cast("double"))
     return F.when(number.isin(0.0, 1.0), number).cast("int")

@@ -144,17 +144,18 @@ def cleaned_duplicate_check(mails: DataFrame) -> DataFrame:
     """Duplicate and conflict counters of a training table by cleaned text."""
     empty = hashlib.sha256(b"").hexdigest()
     cleaned = clean_text(F.col("text_combined"))
-    digests = mails.select(
-        "label", F.array(digest(F.col("text_combined")), digest(cleaned)).alias("digests")
-    )
-    # An empty cleaned text takes its raw digest along, so both are left out.
+    made = mails.select("label", F.array(digest(F.col("text_combined")), digest(cleaned)).alias("both"))
+    digests = made.select(
+        "label",
+        F.transform("both", lambda own: F.struct(own.alias("digest"), F.get(F.col("both"), F.lit(1)).alias("cleaned"))).alias("pair"),
+    )
+    # An empty cleaned text takes its raw digest along, so both are left out. Each
+    # exploded entry carries the cleaned digest: a filter on anything else would
+    # be pushed below the generator and repeat the whole cleaning.
     groups = (
-        digests.select(
-            "label", (F.get("digests", 1) != empty).alias("kept"),
-            F.posexplode_outer("digests").alias("kind", "digest"),
-        )
-        .where("kept")
-        .groupBy("kind", "digest")
+        digests.select("label", F.posexplode("pair").alias("kind", "entry"))
+        .where(F.col("entry.cleaned") != empty)
+        .groupBy("kind", F.col("entry.digest").alias("digest"))
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.min("label").alias("min_label"),

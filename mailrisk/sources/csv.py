@@ -7,6 +7,7 @@ both are then read together as one feed of string columns.
 from __future__ import annotations
 
 import csv
+import io
 import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
@@ -18,8 +19,10 @@ from pyspark.sql import types as T
 
 from mailrisk.operators.standardize import ROW_KEY, SOURCE
 
-# Encodings in order of preference, cell texts read as missing.
-UTF8, WINDOWS = "UTF-8", "windows-1252"
+# Encodings in order of preference, bytes that the second does not
+# define, cell texts read as missing.
+UTF8, WINDOWS, LATIN = "UTF-8", "windows-1252", "ISO-8859-1"
+UNDEFINED_WINDOWS = (0x81, 0x8D, 0x8F, 0x90, 0x9D)
 MISSING_CELLS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
@@ -57,30 +60,33 @@ def _literal(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def _invalid_utf8(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Reported paths of files with a line that is not UTF-8; one scan."""
+def _encodings(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Encoding by reported path of the files that are not UTF-8; one scan. A
+    file with a byte that Windows-1252 leaves undefined is read as Latin-1."""
+    line = F.col("value").cast("binary")
+    undefined = F.lit(False)
+    for byte in UNDEFINED_WINDOWS:
+        undefined = undefined | F.contains(line, F.lit(bytes([byte])))
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("location"), F.is_valid_utf8("value").alias("valid")
+        F.col("_metadata.file_path").alias("location"), (~F.is_valid_utf8("value")).alias("other"), undefined.alias("undefined")
     )
-    flagged = lines.where(~F.col("valid")).select("location").distinct()
-    return {row["location"] for row in flagged.collect()}
+    files = lines.groupBy("location").agg(F.bool_or("other").alias("other"), F.bool_or("undefined").alias("undefined"))
+    return {row["location"]: LATIN if row["undefined"] else WINDOWS for row in files.where("other").collect()}
 
 
 def _header(spark: SparkSession, path: str, encoding: str) -> tuple[str, ...]:
-    """First non-empty line of a file; only the head of the file is read."""
-    lines = spark.read.option("encoding", encoding).text(path) if encoding == UTF8 else _decoded_lines(spark, path, encoding)
-    first = lines.where(F.trim("value") != "").limit(1).collect()
+    """Cells of the first record, which may hold line breaks; only the head of
+    the file is read. Empty for a file without records."""
+    first = spark.read.csv(
+        path, schema=f"first string, {_RAW} string", header=False, multiLine=True, quote='"', escape='"',
+        mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW, encoding=encoding, maxCharsPerColumn=-1,
+    ).head(1)
     if not first:
         return ()
-    return tuple(next(csv.reader([first[0]["value"].lstrip("\ufeff").rstrip("\r")])))
-
-
-def _decoded_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    """Lines of a file in another single-byte encoding."""
-    rows = spark.read.csv(
-        path, schema="value string", sep="\x01", quote="", encoding=encoding, header=False
-    )
-    return rows.select("value")
+    whole = first[0][_RAW]  # null where the record has one cell
+    if whole is None:
+        return ((first[0]["first"] or "").lstrip("\ufeff"),)
+    return tuple(next(csv.reader(io.StringIO(whole.lstrip("\ufeff").rstrip("\r\n"), newline=""))))
 
 
 def file_facts(spark: SparkSession, folder: str) -> list[FileFacts]:
@@ -90,8 +96,8 @@ def file_facts(spark: SparkSession, folder: str) -> list[FileFacts]:
         return []
     _allow_windows_encoding(spark)
     paths = [_literal(path) for path, _ in files]
-    other = _invalid_utf8(spark, paths)
-    encodings = [WINDOWS if location in other else UTF8 for _, location in files]
+    other = _encodings(spark, paths)
+    encodings = [other.get(location, UTF8) for _, location in files]
     with ThreadPoolExecutor(16) as pool:
         headers = list(pool.map(lambda pair: _header(spark, *pair), zip(paths, encodings)))
     return [

@@ -162,11 +162,39 @@ def test_sums_in_two_levels_equal_direct_sums(prepared, monkeypatch):
     rows = descent.pack(rows)
     point = np.linspace(-1, 1, prepared.terms.size + 1)
     direct = descent._pass(rows, 6, descent.logistic, point)
-    monkeypatch.setattr(sums, "_DIRECT_BYTES", 0)
+    monkeypatch.setattr(sums, "_FAN_IN", 2)
+    monkeypatch.setattr(sums.sum_blocks, "__defaults__", (1,))
     levels = descent._pass(rows, 6, descent.logistic, point)
     assert abs(direct[0] - levels[0]) < 1e-9 and np.allclose(direct[1], levels[1])
 
 
+def test_many_blocks_meet_in_a_tree(spark):
+    from mailrisk.operators import sums
+
+    blocks = spark.range(2000, numPartitions=20).selectExpr("0 AS stripe", "cast(id div 32 as int) AS salt", "id")
+
+    def as_blocks(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            cells = [np.array([float(i), 1.0]).tobytes() for i in batch.column("id").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("stripe"), batch.column("salt"), pa.array(cells)], names=["stripe", "salt", "block"])
+
+    (total,) = sums.sum_blocks(blocks.mapInArrow(as_blocks, sums.BLOCK_SCHEMA), 2000, at_root=1)
+    assert total.tolist() == [2000 * 1999 / 2, 2000.0]
+
+
+def test_shipped_svd_settings_are_accurate(spark):
+    """A flat spectrum of 400 rows and 600 terms at the shipped width and passes."""
+    chance = np.random.default_rng(3)
+    x = chance.random((400, 600)) * (chance.random((400, 600)) < 0.05) * (1 / np.arange(1, 601) ** 0.3)
+    rows = [(i, np.flatnonzero(r).tolist(), r[np.flatnonzero(r)].tolist()) for i, r in enumerate(x)]
+    vectors = spark.createDataFrame(rows, "row_key long, indices array<int>, weights array<double>").repartition(3)
+    model = svd.fit_svd(vectors, 600)
+    exact = np.linalg.svd(x, compute_uv=False)[: svd.COMPONENTS]
+    assert len(model.singular_values) == 100 and np.allclose(model.singular_values, exact, rtol=0.01)
+
+
 def test_svd_matches_numpy(prepared):
     x, *_ = dense(prepared)
     model = svd.fit_svd(prepared.train, prepared.terms.size, components=10, passes=12)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from mailrisk.functions.labels import numeric_label
 from mailrisk.operators import dedup, standardize
 from mailrisk.plans.standardization import standardize as run
 from mailrisk.sources import csv, tables
@@ -77,3 +79,27 @@ def test_csv_folder(spark, tmp_path):
     ]
     (tmp_path / "empty").mkdir()
     assert csv.read_feeds(spark, str(tmp_path / "empty")) == []
+
+
+def test_headers_with_line_breaks_and_the_last_encoding(spark, tmp_path):
+    (tmp_path / "breaks.csv").write_bytes(b'subject,"bo\ndy",label,message\nhi,x,spam,"first\nsecond"\nyo,y,ham,m\n')
+    (tmp_path / "latin.csv").write_bytes(b"subject,message,label\ncaf\xe9 \x81\x93x,text,1\n")
+    (tmp_path / "windows.csv").write_bytes(b"subject,message,label\ncaf\xe9 \x93x,text,1\n")
+    (tmp_path / "bom.csv").write_bytes("﻿subject,message,label\nÁ,text,0\n".encode())
+    rows = {}
+    for feed in csv.read_feeds(spark, str(tmp_path)):
+        for row in feed.orderBy("_row_key").collect():
+            rows.setdefault(row["_source_file"], []).append(row.asDict())
+    assert [r["subject"] for r in rows["breaks.csv"]] == ["hi", "yo"] and rows["breaks.csv"][0]["message"] == "first\nsecond"
+    assert "bo\ndy" in rows["breaks.csv"][0]
+    assert rows["latin.csv"][0]["subject"] == "caf\xe9 \x81\x93x"
+    assert rows["windows.csv"][0]["subject"] == "caf\xe9 “x"
+    assert rows["bom.csv"][0]["subject"] == "Á"
+
+
+def test_only_decimal_numbers_are_labels(spark):
+    values = ["1", " 1.0 ", "0", "-0", "1e0", ".0", "1d", "1f", "0x1p0", "NaN", "inf", "", None, "2", "1_0"]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, label string")
+    got = [r[0] for r in rows.select("i", numeric_label(F.col("label")).alias("n")).orderBy("i").select("n").collect()]
+    assert got == [1, 1, 0, 0, 1, 0, None, None, None, None, None, None, None, None, None]
+    assert spark.range(3).select(numeric_label(F.col("id"))).collect() == [(0,), (1,), (None,)]
