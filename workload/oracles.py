@@ -469,6 +469,24 @@ ORACLES["q_score_pasted"] = with_parts("pasted_scores") + (
     f"CASE WHEN NOT {_BLANK} THEN {sql.risk_level('p * 100')} END AS risk_level, "
     f"CASE WHEN {_BLANK} THEN 'Email text cannot be empty.' END AS error FROM pasted_scores"
 )
+sql.PARTS["pasted_entries"] = (
+    "SELECT conv_id, turn, 'text' AS kind, term AS name, value, coefficient, value * coefficient AS contribution, "
+    "row_number() OVER (PARTITION BY conv_id, turn ORDER BY value * coefficient DESC, term) AS rank FROM ("
+    "SELECT conv_id, turn, term, coefficient, w / sqrt(sum(w * w) OVER (PARTITION BY conv_id, turn)) AS value "
+    "FROM pasted_weights JOIN odds USING (term)) WHERE value * coefficient > 0"
+    + "".join(
+        f" UNION ALL SELECT conv_id, turn, 'metadata', '{f}', ({f} - m_{f}) / s_{f}, coefficient, "
+        f"({f} - m_{f}) / s_{f} * coefficient, 1 FROM pasted_features, moments, "
+        f"(SELECT coefficient FROM metadata_weights WHERE feature = '{f}')"
+        for f in _FEATURES
+    ),
+    ("pasted_weights", "odds", "pasted_features", "moments", "metadata_weights"),
+)
+ORACLES["q_explain_pasted"] = with_parts("pasted_scores", "pasted_entries") + (
+    f"SELECT conv_id, turn, {sql.risk_level('p * 100')} AS risk_level, kind, name, round(value, 6) AS value, "
+    "round(coefficient, 6) AS coefficient, round(contribution, 6) AS contribution "
+    f"FROM pasted_entries JOIN pasted_scores USING (conv_id, turn) WHERE rank <= 10 AND NOT {_BLANK}"
+)
 ORACLES["q_score_stream"] = ORACLES["q_score_pasted"]
 ORACLES["q_model_roundtrip"] = with_parts("full_score") + (
     "SELECT row_key, round(p, 6) AS phishing_probability FROM full_score WHERE is_test"

@@ -497,14 +497,27 @@ def q_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_explain_pasted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores with both explanation lists, as JSON per mail."""
+    """Every entry of both explanation lists of every scored mail, with its risk level."""
     _, model = closed_form_model(spark, sf_dir)
     scored = scoring.score_pasted(
         tables.pasted_mails(spark, sf_dir), "mail", model, ("conv_id", "turn"), explain=True
     )
-    return scored.withColumns(
-        {name: F.to_json(name) for name in ("top_phishing_terms", "metadata_contributions")}
+
+    def entries_of(kind: str, column: str, name: str, value: str):
+        return F.transform(
+            column,
+            lambda e: F.struct(
+                F.lit(kind).alias("kind"), e[name].alias("name"), e[value].alias("value"),
+                e["coefficient"].alias("coefficient"), e["contribution"].alias("contribution"),
+            ),
+        )
+
+    entries = F.concat(
+        entries_of("text", "top_phishing_terms", "term", "tfidf_value"),
+        entries_of("metadata", "metadata_contributions", "feature", "scaled_value"),
     )
+    listed = scored.select("conv_id", "turn", "risk_level", F.explode(entries).alias("entry"))
+    return rounded(listed.select("conv_id", "turn", "risk_level", "entry.*"), "value", "coefficient", "contribution")
 
 
 # --- iterative learners ------------------------------------------------------
