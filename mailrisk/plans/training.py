@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from mailrisk.operators import evaluate, explain, profile, similarity
 from mailrisk.operators.bayes import fit_naive_bayes
-from mailrisk.operators.features import model_input
+from mailrisk.operators.features import METADATA_FEATURES, model_input
 from mailrisk.operators.learners import ForestModel, fit_forest, fit_linear_svm, fit_logistic
 from mailrisk.operators.linear import LinearModel, MetadataScaler, fit_scaler
 from mailrisk.operators.split import stratified_split
@@ -40,16 +40,22 @@ class Prepared:
         return self.vectors.where("is_test")
 
 
+def with_features(mails: DataFrame) -> DataFrame:
+    """The written model input of ``mails``; a table that has it already stays as
+    it is, so that several fits share one evaluation of the mail expressions."""
+    if set(METADATA_FEATURES) <= set(mails.columns):
+        return mails
+    keep = [name for name in ("row_key", "label", "is_test", "source_file") if name in mails.columns]
+    return write_stage(model_input(mails, keep=tuple(keep)), "model-input")
+
+
 def prepare(mails: DataFrame) -> Prepared:
     """Features for all mails; vocabulary and scaler from the training side only.
 
     ``mails`` has ``is_test``. Features and text are written before the
     vocabulary is counted, so the mail expressions run once per mail.
     """
-    inputs = write_stage(
-        model_input(mails, keep=("row_key", "label", "is_test", "source_file")), "model-input"
-    )
-    prepared = prepare_text(inputs)
+    prepared = prepare_text(with_features(mails))
     return Prepared(prepared.vectors, prepared.terms, prepared.counts, fit_scaler(prepared.train))
 
 
@@ -109,6 +115,7 @@ def source_holdout(mails: DataFrame, experiments=evaluate.HOLDOUT_EXPERIMENTS) -
             [("all", FINAL_MODEL, "skipped", "source_file column is missing")],
             "experiment string, model string, status string, note string",
         )
+    mails = with_features(mails)
     counts = write_stage(evaluate.holdout_counts(mails, experiments), "holdout-counts")
     ready = {row["experiment"] for row in counts.where("status = 'ok'").select("experiment").collect()}
     parts = []
@@ -150,11 +157,14 @@ class TrainingRun:
 
 
 def train(mails: DataFrame, experiments=evaluate.HOLDOUT_EXPERIMENTS, with_forest: bool = True) -> TrainingRun:
-    """The whole workflow on a canonical mail table."""
+    """The whole workflow on a canonical mail table with a ``row_key``."""
     spark = mails.sparkSession
+    if "row_key" not in mails.columns:
+        raise ValueError("the mails need a unique row_key; read_canonical gives every row of a stored table one")
     loaded = write_stage(load_for_training(mails), "training")
     require_two_classes(loaded)
-    prepared = prepare(stratified_split(loaded))
+    inputs = with_features(loaded)
+    prepared = prepare(stratified_split(inputs))
     text_models = fit_text_models(prepared)
     final = fit_final_model(prepared)
     models = [*text_models, final]
@@ -190,6 +200,6 @@ def train(mails: DataFrame, experiments=evaluate.HOLDOUT_EXPERIMENTS, with_fores
         "metadata_coefficients": explain.metadata_coefficients(spark, final),
         "sample_soc_explanation": explain.soc_report(prepared.test, final),
         "metrics_cleaned_dedup": cleaned_dedup_benchmark(loaded),
-        "source_holdout_metrics": source_holdout(loaded, experiments),
+        "source_holdout_metrics": source_holdout(inputs, experiments),
     }
     return TrainingRun({model.name: model for model in models}, tables)

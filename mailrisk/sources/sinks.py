@@ -35,13 +35,31 @@ def report_text(report: DataFrame) -> DataFrame:
     return report.select(F.to_json(F.struct("*"), options).alias("report"))
 
 
+def flat_report(report: DataFrame) -> DataFrame:
+    """A report whose nested lists become texts of ``name: contribution``."""
+    columns = []
+    for field in report.schema:
+        if isinstance(field.dataType, T.ArrayType):
+            name = field.dataType.elementType.fieldNames()[0]
+            column = F.array_join(
+                F.transform(field.name, lambda e: F.concat_ws(": ", e[name], F.format_number(e["contribution"], 6))), "; "
+            )
+            columns.append(column.alias(field.name))
+        else:
+            columns.append(F.col(field.name))
+    return report.select(*columns)
+
+
 def write_results(tables: dict[str, DataFrame], folder: str, fmt: str = "csv") -> None:
-    """One folder per table: CSV or parquet, and JSON for nested tables."""
+    """One folder per table: CSV or parquet; nested tables as JSON rows, as
+    indented JSON text and, with their lists as texts, as CSV."""
     for name, table in tables.items():
         if fmt == "parquet":
             table.write.mode("overwrite").parquet(f"{folder}/{name}")
         elif _is_nested(table):
             write_json(table, f"{folder}/{name}")
+            report_text(table).write.mode("overwrite").text(f"{folder}/{name}_text")
+            write_csv(flat_report(table), f"{folder}/{name}_flat")
         else:
             write_csv(table, f"{folder}/{name}")
 

@@ -2,13 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mailrisk.functions.labels import numeric_label
 from mailrisk.functions.text import strip
+from mailrisk.operators.standardize import ROW_KEY, SOURCE
+from mailrisk.sources import csv
 
 REQUIRED = ("text_combined", "label")
+_ROWS_PER_FILE_BITS = 33
+
+
+def read_canonical(spark: SparkSession, path: str) -> DataFrame:
+    """A stored standardized table (a parquet table, or a folder of CSV files)
+    with a ``row_key`` that grows with the sorted file path and the row in it.
+
+    A table that already has a ``row_key`` keeps it.
+    """
+    files = csv.list_files(spark, path)
+    if files:
+        rows = reduce(
+            lambda left, right: left.unionByName(right, allowMissingColumns=True), csv.read_feeds(spark, path)
+        )
+        return rows.drop(ROW_KEY, SOURCE) if "row_key" in rows.columns else rows.withColumnRenamed(ROW_KEY, "row_key").drop(SOURCE)
+    rows = spark.read.parquet(path)
+    if "row_key" in rows.columns:
+        return rows
+    located = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    order = Window.orderBy("_file")  # one row per file
+    positions = located.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_file", (F.row_number().over(order) - 1).cast("long").alias("_position")
+    )
+    key = F.shiftleft("_position", _ROWS_PER_FILE_BITS) + F.col("_row")
+    return located.join(positions, "_file").withColumn("row_key", key).drop("_file", "_row", "_position")
 
 
 def _require_columns(mails: DataFrame) -> None:

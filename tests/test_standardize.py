@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mailrisk.functions.labels import numeric_label
 from mailrisk.operators import dedup, standardize
+from mailrisk.plans import training
 from mailrisk.plans.standardization import standardize as run
 from mailrisk.sources import csv, tables
 
@@ -103,3 +104,19 @@ def test_only_decimal_numbers_are_labels(spark):
     got = [r[0] for r in rows.select("i", numeric_label(F.col("label")).alias("n")).orderBy("i").select("n").collect()]
     assert got == [1, 1, 0, 0, 1, 0, None, None, None, None, None, None, None, None, None]
     assert spark.range(3).select(numeric_label(F.col("id"))).collect() == [(0,), (1,), (None,)]
+
+
+def test_stored_tables_get_row_keys(spark, tmp_path):
+    rows = [("first text", 1), ("second text", 0), ("second text", 0)]
+    table = spark.createDataFrame(rows, "text_combined string, label int").repartition(3)
+    table.write.parquet(str(tmp_path / "plain"))
+    read = tables.read_canonical(spark, str(tmp_path / "plain"))
+    keys = [r.row_key for r in read.collect()]
+    assert len(set(keys)) == 3 and sorted((r.text_combined, r.label) for r in read.collect()) == rows
+    assert sorted(r.row_key for r in tables.read_canonical(spark, str(tmp_path / "plain")).collect()) == sorted(keys)
+    table.coalesce(1).write.csv(str(tmp_path / "csv"), header=True)
+    assert len({r.row_key for r in tables.read_canonical(spark, str(tmp_path / "csv")).collect()}) == 3
+    with pytest.raises(ValueError, match="row_key"):
+        training.train(table)
+    spark.createDataFrame([(5, "x", 1)], "row_key long, text_combined string, label int").write.parquet(str(tmp_path / "keyed"))
+    assert tables.read_canonical(spark, str(tmp_path / "keyed")).first().row_key == 5
