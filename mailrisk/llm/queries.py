@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailrisk.llm import chat, contamination, minhash, mixing, quality, secrets, sharding, substrings, tokens
+from mailrisk.llm import (
+    chat, contamination, licenses, minhash, mixing, quality, secrets, sharding, substrings, tokens,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -128,3 +130,17 @@ def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op2_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = licenses.scan_documents(documents, licenses.default_templates(spark))
+    best = F.get("licenses", F.lit(0))
+    names = F.array_sort(F.transform("licenses", lambda match: match["template_id"]))
+    return scanned.select(
+        "doc_id", "n_words", F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join(names, ",").alias("licenses"), best["template_id"].alias("best_license"),
+        F.round(best["coverage"], 6).alias("best_coverage"),
+        best["start"].alias("best_start"), best["end"].alias("best_end"),
+    )
