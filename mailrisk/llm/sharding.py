@@ -137,6 +137,8 @@ def fit_tree(points: DataFrame, shards: int, balance: Balance = Balance()) -> No
             for row in placed.filter(F.col("_node").isin(*open_nodes)).groupBy("_node")
             .agg(F.sum("_size").alias("weight"), *ranges).collect()
         }
+        if not stats:  # no rows at all
+            break
         span = span or {key: max([1, *(row[key] for row in stats.values())]) for key in keys}
         widest = {node: max(keys, key=lambda key: row[key] / span[key]) for node, row in stats.items()}
         aims = {node: row["weight"] * (open_nodes[node].shards // 2) / open_nodes[node].shards for node, row in stats.items()}
