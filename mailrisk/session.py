@@ -77,7 +77,7 @@ def new_stage(df: DataFrame, name: str, schema=None) -> Stage:
     """Write ``df`` once; reading it back cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return Stage(spark.read.schema(schema or df.schema).parquet(path), path)
 
 
