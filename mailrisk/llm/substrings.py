@@ -42,8 +42,8 @@ class Repeats:
     full sketch lets more windows through to the exact grouping, never fewer."""
 
     words: int = 50
-    rows: int = 2
-    cells_per_anchor: int = 4
+    rows: int = 3
+    cells_per_anchor: int = 8
     most_bits: int = 29
 
 
@@ -165,16 +165,15 @@ def _screened(documents: DataFrame, rule: Repeats) -> DataFrame:
                 second = run_hashes(mix(hashes), rule.words, _BASES[1])[places] >> np.uint64(32) if some else places
                 values = (
                     len(words), _digest(words), text if some else None, places.astype(np.int32) if some else None,
-                    first.view(np.int64) if some else None, second.astype(np.int64) if some else None,
+                    first.view(np.int64) if some else None, second.astype(np.uint32).view(np.int32) if some else None,
                 )
                 for column, value in zip(columns, values):
                     column.append(value)
-            longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column("doc_id"), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()),
                     pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.list_(pa.int32())),
-                    pa.array(columns[4], longs), pa.array(columns[5], longs),
+                    pa.array(columns[4], pa.list_(pa.int64())), pa.array(columns[5], pa.list_(pa.int32())),
                 ],
                 names=["doc_id", "n_words", "kept_sha256", "text", "places", "first", "second"],
             )
@@ -182,7 +181,7 @@ def _screened(documents: DataFrame, rule: Repeats) -> DataFrame:
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(
         screen,
-        "doc_id long, n_words long, kept_sha256 string, text binary, places array<int>, first array<long>, second array<long>",
+        "doc_id long, n_words long, kept_sha256 string, text binary, places array<int>, first array<long>, second array<int>",
     )
 
 
