@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailrisk.llm.hashing import chunks, mix, word_hashes
@@ -209,6 +209,10 @@ def _cut(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(cut, "doc_id long, whole string, n_removed long, cut_sha256 string, left string")
 
 
+def _short(digest: str) -> Column:
+    return F.xxhash64(digest)
+
+
 def cut_documents(documents: DataFrame, rule: Repeats = Repeats()) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256, left`` for every row. ``left``
     is the shortened text with single spaces, null where nothing was removed.
@@ -229,10 +233,11 @@ def cut_documents(documents: DataFrame, rule: Repeats = Repeats()) -> DataFrame:
         .join(copied.rows, "kept_sha256", "left")
         .filter(F.col("home").isNull() | (F.col("home") == F.col("doc_id")))
     )
+    # A window carries eight bytes of its text's digest, to tell rows of one id apart.
     windows = new_stage(
-        sources.select("doc_id", "kept_sha256", F.explode(F.arrays_zip("places", "first", "second")).alias("w")).select(
-            "doc_id", "kept_sha256", "w.*"
-        ),
+        sources.select(
+            "doc_id", _short("kept_sha256").alias("copy"), F.explode(F.arrays_zip("places", "first", "second")).alias("w")
+        ).select("doc_id", "copy", "w.*"),
         "windows",
     )
     shared = (
@@ -241,10 +246,11 @@ def cut_documents(documents: DataFrame, rule: Repeats = Repeats()) -> DataFrame:
     )
     repeats = (
         windows.rows.join(shared, ["first", "second"]).filter(F.col("home") < F.col("doc_id"))
-        .groupBy("doc_id", F.col("kept_sha256").alias("whole")).agg(F.collect_set("places").alias("repeats"))
+        .groupBy("doc_id", "copy").agg(F.collect_set("places").alias("repeats"))
     )
-    texts = passed.select("doc_id", F.col("kept_sha256").alias("whole"), "text").dropDuplicates(["doc_id", "whole"])
-    shortened = write_stage(_cut(texts.join(repeats, ["doc_id", "whole"]), rule.words), "shortened")
+    texts = passed.select("doc_id", _short("kept_sha256").alias("copy"), F.col("kept_sha256").alias("whole"), "text")
+    found = texts.join(repeats, ["doc_id", "copy"]).dropDuplicates(["doc_id", "whole"])
+    shortened = write_stage(_cut(found, rule.words), "shortened")
     windows.remove()
     nothing = hashlib.sha256(b"").hexdigest()
     later_copy = F.coalesce(F.col("home") < F.col("doc_id"), F.lit(False))
