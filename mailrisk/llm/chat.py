@@ -58,9 +58,15 @@ def _same(left: str, right: str) -> Column:
     return F.col("tree").eqNullSafe(F.col("o_tree")) & (F.col(left) == F.col(right))
 
 
+def _open(level: Stage) -> DataFrame:
+    return level.rows.filter(F.col("jump").isNotNull())
+
+
 def _strides(messages: DataFrame) -> list[Stage]:
-    """Written tables ``tree, message, jump, total, steps``; the t-th jumps
-    ``2^t`` messages up, the last one has no jumps left."""
+    """Written tables ``tree, message, jump, total, steps``. The t-th has the
+    messages with an ancestor ``2^(t-1)`` up; its jumps go ``2^t`` up, and a row
+    without one has its whole path in ``total`` and ``steps``. So messages leave
+    as soon as their root is known, and the last table has no jumps."""
     own = messages.select("tree", "message", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("total"))
     known = prefixed(messages.select("tree", "message"), "o_")
     first = own.join(known, _same("parent", "o_message"), "left").select(
@@ -68,15 +74,16 @@ def _strides(messages: DataFrame) -> list[Stage]:
     )
     levels = [new_stage(first, "strides")]
     size = None
-    while not levels[-1].rows.filter(F.col("jump").isNotNull()).isEmpty():
+    while not _open(levels[-1]).isEmpty():
         size = size or levels[0].rows.count()
         if 2 ** (len(levels) - 1) > size:
             raise ValueError("the parents of some messages form a cycle")
-        level = levels[-1].rows
-        further = level.join(prefixed(level, "o_"), _same("jump", "o_message"), "left").select(
+        state = _open(levels[-1])
+        for level in levels:
+            state = state.unionByName(level.rows.filter(F.col("jump").isNull()))
+        further = _open(levels[-1]).join(prefixed(state, "o_"), _same("jump", "o_message")).select(
             "tree", "message", F.col("o_jump").alias("jump"),
-            (F.col("total") + F.coalesce("o_total", F.lit(0.0))).alias("total"),
-            (F.col("steps") + F.coalesce("o_steps", F.lit(0))).alias("steps"),
+            (F.col("total") + F.col("o_total")).alias("total"), (F.col("steps") + F.col("o_steps")).alias("steps"),
         )
         levels.append(new_stage(further, "strides"))
     return levels
@@ -96,26 +103,29 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         "messages",
     )
     levels = _strides(unique)
-    answered = prefixed(levels[0].rows.filter(F.col("jump").isNotNull()).select("tree", "jump"), "o_")
-    leaves = levels[-1].rows.join(answered, _same("message", "o_jump"), "left_anti")
+    settled = levels[0].rows.filter(F.col("jump").isNull())
+    for level in levels[1:]:
+        settled = settled.unionByName(level.rows.filter(F.col("jump").isNull()))
+    answered = prefixed(_open(levels[0]).select("tree", "jump"), "o_")
+    leaves = settled.join(answered, _same("message", "o_jump"), "left_anti")
     mean = F.col("total") / F.col("steps")
     order = Window.partitionBy("tree").orderBy(mean.desc(), F.col("steps").desc(), "message")
     chosen = leaves.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= branches)
-    path = chosen.select(
-        "tree", F.col("message").alias("leaf"), "rank", mean.alias("path_score"), "message", F.lit(0).cast("long").alias("back")
+    steps = write_stage(
+        chosen.select(
+            "tree", F.col("message").alias("leaf"), "rank", mean.alias("path_score"), "message",
+            F.lit(0).cast("long").alias("back"),
+        ),
+        "paths",
     )
     for stride, level in enumerate(levels[:-1]):
-        jumps = prefixed(level.rows.filter(F.col("jump").isNotNull()).select("tree", "message", "jump"), "o_")
-        both = F.array(
-            F.struct("message", "back"),
-            F.struct(F.col("o_jump").alias("message"), (F.col("back") + 2**stride).alias("back")),
-        )
-        path = (
-            path.join(jumps, _same("message", "o_message"), "left")
-            .select("tree", "leaf", "rank", "path_score", F.explode(both).alias("step"))
-            .select("tree", "leaf", "rank", "path_score", "step.*").filter(F.col("message").isNotNull())
+        # Known steps reach 2^stride up without a gap; a jump of that length doubles it.
+        jumps = prefixed(_open(level).select("tree", "message", "jump"), "o_")
+        further = steps.join(jumps, _same("message", "o_message")).select(
+            "tree", "leaf", "rank", "path_score", F.col("o_jump").alias("message"),
+            (F.col("back") + 2**stride).alias("back"),
         )
-    steps = write_stage(path, "paths")
+        steps = steps.unionByName(write_stage(further, "paths"))
     for level in levels:
         level.remove()
     texts = prefixed(unique.select("tree", "message", "role", "text"), "o_")
