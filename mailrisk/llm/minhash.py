@@ -17,6 +17,7 @@ are ignored. Texts are read whole; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -142,67 +143,119 @@ def _sets_of(documents: DataFrame, wanted: DataFrame, rule: Similarity) -> Stage
     return new_stage(rows.join(wanted, "doc_id", "left_semi").mapInArrow(collect, "doc_id long, shingles binary"), "sets")
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` of ``node`` and ``low`` with both sets. A node's set travels once
+    per pair; a hub's set meets its pairs in a join that can be split."""
+    mine = sets.select(F.col("doc_id").alias("node"), F.col("shingles").alias("mine"))
+    theirs = sets.select(F.col("doc_id").alias("low"), F.col("shingles").alias("theirs"))
+    return pairs.join(mine, "node").join(theirs, "low")
+
+
+def _similar(common: int, left: int, right: int, percent: int) -> bool:
+    return 100 * common >= percent * (left + right - common)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
-    """The pairs ``node > low`` whose full sets are similar enough. A set travels
-    once per pair of its node; a hub's set meets its pairs in a join that can be split."""
+    """The pairs ``node``, ``low`` whose full sets are similar enough."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for a, b in zip(batch.column("mine"), batch.column("theirs")):
                 left, right = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
                 common = len(np.intersect1d(left, right, assume_unique=True))
-                good.append(100 * common >= rule.percent * (len(left) + len(right) - common))
+                good.append(_similar(common, len(left), len(right), rule.percent))
             yield batch.select(["node", "low"]).filter(pa.array(good, pa.bool_()))
 
-    mine = sets.select(F.col("doc_id").alias("node"), F.col("shingles").alias("mine"))
-    theirs = sets.select(F.col("doc_id").alias("low"), F.col("shingles").alias("theirs"))
-    return pairs.join(mine, "node").join(theirs, "low").mapInArrow(check, "node long, low long")
+    return _with_sets(pairs, sets).mapInArrow(check, "node long, low long")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> Stage:
+    """Members (``node``) against their hub (``low``): ``n`` shingles, ``alike``,
+    ``apart`` (size of the symmetric difference), and as ``marks`` the first
+    shingles of that difference, those the hub lacks before those it has.
+
+    Two members x and y that are alike have a difference of at most
+    ``s = (1 - t) / (1 + t) * (|x| + |y|)`` shingles, so their differences from
+    the hub share at least half of ``apart_x + apart_y - s``. If x is not alike
+    the hub, that is more than ``apart_y * (1 - (1 - t) / (1 + t)) / 2``; and it
+    is never below ``apart - s``. Hence some shared shingle lies among the first
+    ``len(marks)`` of x and the first ``n_marks`` of y.
+    """
+    share = rule.percent / 100
+    gap = (1 - share) / (1 + share)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns: list[list] = [[], [], [], [], []]
+            for a, b in zip(batch.column("mine"), batch.column("theirs")):
+                own, hub = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
+                added, dropped = np.setdiff1d(own, hub, True), np.setdiff1d(hub, own, True)
+                apart = len(added) + len(dropped)
+                alike = _similar(len(own) - len(added), len(own), len(hub), rule.percent)
+                # A thousandth is taken off against rounding; marks only get more.
+                shared = max(1, math.ceil(apart - gap * len(own) * (1 + 1 / share) - 0.001))
+                most = max(shared, math.floor(apart * (1 - gap) / 2 - 0.001) + 1)
+                n_marks = apart - most + 1
+                marks = np.concatenate([added, dropped])[: n_marks if alike else apart - shared + 1]
+                for column, value in zip(columns, (len(own), alike, apart, n_marks, marks.view(np.int64))):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("node"), batch.column("low"), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.bool_()),
+                    pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.list_(pa.int64())),
+                ],
+                names=["node", "low", "n", "alike", "apart", "n_marks", "marks"],
+            )
+
+    schema = "node long, low long, n long, alike boolean, apart long, n_marks int, marks array<long>"
+    return new_stage(_with_sets(pairs, sets).mapInArrow(compare, schema), "compared")
 
 
-def _near_size(rule: Similarity):
-    """Sets of too different sizes cannot be similar."""
-    return F.least("n", "low_n") * 100 >= F.greatest("n", "low_n") * rule.percent
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("node", "low").alias("node"), F.least("node", "low").alias("low"))
 
 
 def near_links(classes: DataFrame, documents: DataFrame, rule: Similarity) -> DataFrame:
     """``node, low`` per class representative outside its group's smallest one.
 
-    ``classes`` has ``rep, n, bands``. Every member of a bucket is first verified
-    against the bucket's smallest one, which is linear and settles groups of
-    copies. What is then still apart inside a bucket is verified too: members
-    outside that group against all members of other groups. So every pair that
-    shares a bucket is verified or already in one group, whatever a bucket's size.
+    ``classes`` has ``rep`` and ``bands``. A bucket's hub is the member that shares
+    most places in buckets with others, for edited copies the text they stem
+    from. Every member is compared with its hubs, which is linear. Members of one
+    bucket that are then in different groups are alike only if their differences
+    from the hub overlap, so they are joined on the first shingles of those
+    differences (see ``_compared``) and verified. Every pair that shares a bucket
+    is in one group, verified, or proven not alike, whatever a bucket's size.
     """
-    spread = classes.filter(F.col("rep").isNotNull()).select("rep", "n", F.explode("bands").alias("band"))
-    shared = spread.groupBy("band").agg(
-        F.min(F.struct(F.col("rep").alias("low"), F.col("n").alias("low_n"))).alias("hub"), F.max("rep").alias("top")
-    ).filter(F.col("hub.low") < F.col("top")).select("band", "hub.*")
+    spread = classes.filter(F.col("rep").isNotNull()).select("rep", F.explode("bands").alias("band"))
+    shared = spread.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
     members = new_stage(spread.join(shared, "band"), "buckets")
     sets = _sets_of(documents, members.rows.select(F.col("rep").alias("doc_id")).distinct(), rule)
 
-    spokes = members.rows.filter((F.col("rep") > F.col("low")) & _near_size(rule)).select(F.col("rep").alias("node"), "low")
-    stars = components(_verified(spokes.distinct(), sets.rows, rule), "stars")
-
-    group = F.coalesce(F.col("root"), F.col("rep"))
-    roots = stars.select(F.col("node").alias("rep"), F.col("low").alias("root"))
-    hubs = stars.select(F.col("node").alias("low"), F.col("low").alias("hub_root"))
-    grouped = members.rows.join(roots, "rep", "left").join(hubs, "low", "left").select(
-        "band", "rep", "n", "low", group.alias("root"), F.coalesce("hub_root", "low").alias("hub_root")
+    company = members.rows.groupBy("rep").agg(F.sum("size").alias("company"))
+    hubs = (
+        members.rows.join(company, "rep").groupBy("band")
+        .agg(F.max(F.struct("company", (-F.col("rep")).alias("id"))).alias("hub"))
+        .select("band", (-F.col("hub.id")).alias("low"))
+    )
+    spokes = members.rows.join(hubs, "band").filter(F.col("rep") != F.col("low"))
+    compared = _compared(spokes.select(F.col("rep").alias("node"), "low").distinct(), sets.rows, rule)
+    stars = components(_ordered(compared.rows.filter("alike")), "stars")
+
+    roots = stars.select("node", F.col("low").alias("root"))
+    grouped = compared.rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    outside = grouped.filter(~F.col("alike")).select("node", "n", "apart", "root", F.col("low").alias("hub"), F.explode("marks").alias("mark"))
+    others = grouped.select(
+        F.col("node").alias("low"), F.col("n").alias("low_n"), F.col("apart").alias("low_apart"), F.col("root").alias("low_root"),
+        F.col("low").alias("hub"), (~F.col("alike")).alias("_odd"), F.explode(F.slice("marks", F.lit(1), F.col("n_marks"))).alias("mark"),
     )
-    outside = grouped.filter(F.col("root") != F.col("hub_root"))
-    odd = new_stage(outside.select("band", "rep", "n", "root"), "outside")
-    mixed = grouped.join(odd.rows.select("band").distinct(), "band", "left_semi").filter(F.col("rep") != F.col("low"))
-    others = mixed.select(
-        "band", F.col("rep").alias("low"), F.col("n").alias("low_n"), F.col("root").alias("low_root"),
-        (F.col("root") != F.col("hub_root")).alias("_odd"),
+    possible = (
+        (F.col("root") != F.col("low_root")) & (~F.col("_odd") | (F.col("node") > F.col("low")))
+        & (F.least("n", "low_n") * 100 >= F.greatest("n", "low_n") * rule.percent)
+        & (F.abs(F.col("apart") - F.col("low_apart")) * (100 + rule.percent) <= (F.col("n") + F.col("low_n")) * (100 - rule.percent))
     )
-    apart = (F.col("root") != F.col("low_root")) & (~F.col("_odd") | (F.col("rep") > F.col("low"))) & _near_size(rule)
-    pairs = odd.rows.join(others, "band").filter(apart).select(
-        F.greatest("rep", "low").alias("node"), F.least("rep", "low").alias("low")
-    ).distinct()
-    links = stars.unionByName(_verified(pairs, sets.rows, rule))
-    result = components(links, "groups")
-    for stage in (members, sets, odd):
+    pairs = _ordered(outside.join(others, ["hub", "mark"]).filter(possible)).distinct()
+    result = components(stars.unionByName(_verified(pairs, sets.rows, rule)), "groups")
+    for stage in (members, sets, compared):
         stage.remove()
     return result
 
@@ -214,7 +267,7 @@ def group_documents(documents: DataFrame, rule: Similarity = Similarity()) -> Da
     signed = write_stage(_signed(documents, rule), "signatures")
     classes = new_stage(
         signed.filter(F.col("digest").isNotNull()).groupBy("digest").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+            F.min("doc_id").alias("rep"), F.first("bands").alias("bands")
         ),
         "classes",
     )
@@ -240,8 +293,9 @@ def keep_one(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame
     standing = group_documents(documents, rule).filter("kept").groupBy(
         F.col("doc_id").alias("_id"), own.alias("_text_of")
     ).agg(F.count(F.lit(1)).alias("_rows"))
-    told = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
-    kept = documents.join(standing, F.col("doc_id").eqNullSafe(F.col("_id")) & told.eqNullSafe(F.col("_text_of")))
+    row = F.struct(*(F.col(f"`{name}`") for name in documents.columns)).alias("_row")
+    rows = documents.select(row, F.col("doc_id").alias("_own"), F.when(F.col("doc_id").isNull(), F.xxhash64("text")).alias("_told"))
+    kept = rows.join(standing, F.col("_own").eqNullSafe(F.col("_id")) & F.col("_told").eqNullSafe(F.col("_text_of")))
     single = kept.filter(F.col("_rows") == 1)
     repeated = kept.filter(F.col("_rows") > 1).dropDuplicates(["_id", "_text_of"])
-    return single.unionByName(repeated).select(*(F.col(f"`{name}`") for name in documents.columns))
+    return single.unionByName(repeated).select("_row.*")
