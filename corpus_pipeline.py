@@ -14,6 +14,8 @@ from mailrisk.llm import contamination, minhash, mixing, quality, sharding
 from mailrisk.session import write_stage
 
 SHARDS = 40
+#: A line in more than ten texts of a host goes, however large the host.
+LINES = quality.LineRules(max_share=0.0)
 #: Good documents keep their tokens; poor and toxic ones are mixed down to nothing.
 MIXTURE = mixing.Mixture({"good": 1.0, "poor": 0.0, "toxic": 0.0}, anchor="good", most_rate=1.0)
 
@@ -24,7 +26,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without lines too common on their host."""
-    return quality.filter_documents(docs)
+    return quality.filter_documents(docs, LINES)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

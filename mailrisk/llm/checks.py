@@ -47,6 +47,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base
 """
 
+ORACLES["op1_common_lines"] = ORACLES["op1_quality_lines"].replace(" AND count(*) > n * 0.05", "")
+
 
 def _spans_of(kind: str, pattern: str, accepted: str) -> str:
     """Spans by summing the lengths of matches and of the text between them."""

@@ -30,7 +30,8 @@ _PROBE = 4
 class LineRules:
     """Limits. A line goes when more than ``max_documents`` distinct texts and
     more than ``max_share`` of the host's distinct texts hold it; a document
-    goes when removed lines held more than ``max_removed`` of its words."""
+    goes when removed lines held more than ``max_removed`` of its words. A share
+    grows with the host; 0 leaves the count of texts alone."""
 
     min_words: int = 20
     max_repeat_percent: int = 30
@@ -60,11 +61,14 @@ def _plain(documents: DataFrame, host: str) -> DataFrame:
 
 
 def frequent_lines(documents: DataFrame, rules: LineRules = LineRules(), host: str = "source") -> DataFrame:
-    """``(_host, _over)``: hashes of the host's lines above the limits.
-
-    A host has at most ``1 / max_share`` times its mean number of distinct lines
-    per text, so one array per host is small. Counting is a sum with map-side
-    combining over distinct texts; a hot host or line is spread over all tasks.
+    """Hashes of the lines above the limits: ``(_host, _over)`` with a share,
+    ``(_host, _copy, _over)`` for each distinct text that holds any without one.
+
+    A share leaves a host at most ``1 / max_share`` times its mean number of
+    distinct lines per text, so one array per host is small. Without one the
+    lines grow with the host and are joined back to its texts. Counting is a sum
+    with map-side combining over distinct texts; a hot host or line is spread
+    over all tasks.
     """
     hashed = _with_lines(_plain(documents, host)).select(
         "_host",
@@ -72,18 +76,19 @@ def frequent_lines(documents: DataFrame, rules: LineRules = LineRules(), host: s
         F.array_compact(F.array_distinct(F.transform("_lines", _key))).alias("_keys"),
     )
     texts = new_stage(hashed.groupBy("_host", "_copy").agg(F.first("_keys").alias("_keys")), "lines")
-    sizes = texts.rows.groupBy("_host").agg(F.count(F.lit(1)).alias("_texts"))
-    counts = (
-        texts.rows.select("_host", F.explode("_keys").alias("_key"))
-        .groupBy("_host", "_key").agg(F.count(F.lit(1)).alias("_holding"))
-        .filter(F.col("_holding") > rules.max_documents)
-    )
+    held = texts.rows.select("_host", "_copy", F.explode("_keys").alias("_key"))
     over = (
-        counts.join(sizes, "_host")
-        .filter(F.col("_holding") > F.col("_texts") * rules.max_share)
-        .groupBy("_host").agg(F.collect_set("_key").alias("_over"))
+        held.groupBy("_host", "_key").agg(F.count(F.lit(1)).alias("_holding"))
+        .filter(F.col("_holding") > rules.max_documents)
     )
-    result = write_stage(over, "frequent_lines")
+    if rules.max_share > 0:
+        sizes = texts.rows.groupBy("_host").agg(F.count(F.lit(1)).alias("_texts"))
+        over = over.join(sizes, "_host").filter(F.col("_holding") > F.col("_texts") * rules.max_share)
+        listed = over.groupBy("_host").agg(F.collect_set("_key").alias("_over"))
+    else:
+        found = held.join(over.select("_host", "_key"), ["_host", "_key"])
+        listed = found.groupBy("_host", "_copy").agg(F.collect_list("_key").alias("_over"))
+    result = write_stage(listed, "frequent_lines")
     texts.remove()
     return result
 
@@ -127,16 +132,19 @@ def with_signals(documents: DataFrame, over: DataFrame, rules: LineRules = LineR
 
     Fields: ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, n_removed_lines, n_removed_words, left`` (the text without the
-    removed lines) and ``kept``. ``over`` has one small row per host: Spark
-    broadcasts it when its written size allows and otherwise joins on the host,
-    where adaptive execution splits a hot one.
+    removed lines) and ``kept``. ``over`` with one small row per host is
+    broadcast when its written size allows and otherwise joined on the host; with
+    one row per text it grows with the input and is joined on host and text by
+    sorting. Adaptive execution splits a hot key of either.
     """
     rows = documents.select(
         F.struct(*(F.col(f"`{name}`") for name in documents.columns)).alias("_row"),
         F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"),
-        F.coalesce(F.col("text"), F.lit("")).alias("_text"),
+        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_copy"),
     )
-    joined = rows.join(over, "_host", "left")
+    by_text = "_copy" in over.columns
+    keys = ["_host", "_copy"] if by_text else ["_host"]
+    joined = rows.join(over.hint("merge") if by_text else over, keys, "left").withColumn("_text", F.coalesce("_row.text", F.lit("")))
     counted = _repeated(joined.withColumn("_words", split_words(F.col("_text"))))
     raw = F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     measured = counted.withColumn("_raw", raw).select(

@@ -26,14 +26,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query
-def op1_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def judged_lines(spark: SparkSession, sf_dir: str, rules: quality.LineRules) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     names = (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_removed_lines", "n_removed_words",
     )
-    return quality.judge_documents(documents).select("doc_id", *(F.col(f"quality.{name}") for name in names))
+    return quality.judge_documents(documents, rules).select("doc_id", *(F.col(f"quality.{name}") for name in names))
+
+
+@query
+def op1_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged_lines(spark, sf_dir, quality.LineRules())
+
+
+@query
+def op1_common_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of the pipeline: lines go by their number of texts alone."""
+    return judged_lines(spark, sf_dir, corpus_pipeline.LINES)
 
 
 @query

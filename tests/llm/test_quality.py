@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import brute
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from mailrisk.llm import quality
@@ -58,6 +59,23 @@ def test_repeated_rows_count_once_and_empty_tables(spark):
     assert judged(spark, []) == {}
 
 
+def test_common_line_of_a_large_host_goes(spark):
+    chance = random.Random(5)
+    body = lambda: " ".join(chance.choices([f"w{at}" for at in range(900)], k=25))
+    rows = [(at, ("Subscribe to  OUR letter\n" if at % 25 == 0 else "") + body(), "large") for at in range(500)]
+    rows += [(500, "subscribe to our letter\n" * 9 + "w1 w2", "large"), (501, "subscribe to our letter\n" + body(), "small")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    stage = dict(corpus_pipeline.STAGES)["quality_rules"]
+    kept = {row.doc_id: row.text for row in stage(spark, documents, "").collect()}
+    expected = brute.quality(rows, max_share=0.0)
+    assert sum(measures[7] for measures in expected.values()) == 20 + 9
+    assert set(kept) == {doc_id for doc_id, measures in expected.items() if measures[6]} == set(range(502)) - {500}
+    assert {doc_id for doc_id, text in kept.items() if "letter" in text} == {501}
+    same = quality.judge_documents(documents, corpus_pipeline.LINES).select("doc_id", *(F.col(f"quality.{n}") for n in NAMES))
+    assert {row[0]: tuple(row[1:]) for row in same.collect()} == expected
+    assert not any(measures[7] for measures in judged(spark, rows).values())  # 4.2 % of the host
+
+
 def test_long_text(spark):
     text = " ".join(f"t{at % 5000}" for at in range(12_000))
     measures = judged(spark, [(1, text, "h")])[1]
