@@ -1,7 +1,8 @@
 """License scan: patience alignment of documents with license templates.
 
-A scan for three-word shingles of any template finds where a license may stand.
-There, words that are unique both in the text and in the template are anchors;
+A scan for three-word shingles of any template finds where a license may stand;
+with ``everywhere`` so does a count of single words, which misses no place whose
+window could reach the coverage. There, words that are unique both in the text and in the template are anchors;
 their longest increasing subsequence fixes the alignment, and the gaps between
 anchors are aligned in the same way, after common beginnings and ends, which
 need not be unique. The share of template words that were aligned is the
@@ -9,7 +10,9 @@ coverage, so inserted, dropped or changed words cost only themselves.
 
 Defined results. A-Z are lower-cased and ASCII punctuation parts words. Null and
 empty texts and templates have no words and match nothing; a template without an
-id is left out; of templates with one id all count. Of equally covered licenses
+id is left out; of templates with one id all count. Words of a column
+``required`` must be aligned, and words of ``refused`` may not stand between the
+first and the last aligned word. Of equally covered licenses
 the first id, of equally covered places the first one is reported. Repeated rows
 have a result each. Extra columns are ignored; texts are read whole; empty
 tables give no rows or no licenses.
@@ -17,6 +20,7 @@ tables give no rows or no licenses.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
@@ -62,11 +66,13 @@ _FOLD = bytes.maketrans(bytes(range(0x41, 0x5B)) + _PARTING, bytes(range(0x61, 0
 
 @dataclass(frozen=True)
 class Match:
-    """Shingle length, lowest coverage, and the most template words that are
+    """Shingle length, lowest coverage, whether all places that single words leave
+    possible are aligned besides those that share a shingle, and the most template words that are
     sent to the tasks; more templates than that are refused, none is dropped."""
 
     shingle: int = 3
     coverage: float = 0.75
+    everywhere: bool = False
     most_words: int = 1_000_000
 
 
@@ -122,11 +128,18 @@ def align(left: list[bytes], right: list[bytes]) -> list[tuple[int, int]]:
 
 
 class Templates:
-    """Template words, and a sorted index of their shingles."""
-
-    def __init__(self, rows: list[tuple[str, str]], size: int):
-        self.names = [name for name, _ in rows]
-        self.words = [words_of(text.encode()) for _, text in rows]
+    """Template words, a sorted index of their shingles, and how often a template
+    has each word."""
+
+    def __init__(self, rows: list[tuple[str, str, str, str]], rule: Match):
+        size = rule.shingle
+        self.names = [row[0] for row in rows]
+        self.words, self.required, self.refused = ([words_of(row[at].encode()) for row in rows] for at in (1, 2, 3))
+        self.least = np.array([math.ceil(len(words) * rule.coverage - 1e-9) for words in self.words])
+        self.known = np.unique(word_hashes([word for words in self.words for word in words]))
+        self.held = np.zeros((len(rows), len(self.known)), np.int64)
+        for number, words in enumerate(self.words):
+            np.add.at(self.held[number], np.searchsorted(self.known, word_hashes(words)), 1)
         entries = []
         self.sizes = sorted({min(size, len(words)) for words in self.words if words})
         for number, words in enumerate(self.words):
@@ -153,11 +166,57 @@ class Templates:
                     at += 1
         return found
 
-    def best(self, words: list[bytes], number: int, hits: list[tuple[int, int]]) -> tuple[int, int, int]:
+    def windows(self, hashes: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        """Per template the ``(words, place)`` of all windows that hold enough of
+        its words for the coverage, most words first.
+
+        A window holds as many of a word as both have. The word at a place counts
+        for the windows that begin after the one which, within them, would be one
+        too many, so adding up where such stretches begin and end counts all.
+        """
+        found: dict[int, list[tuple[int, int]]] = {}
+        if not (len(hashes) and len(self.known)):
+            return found
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        places = np.flatnonzero(self.known[at] == hashes)
+        own = at[places]
+        whole = np.minimum(np.bincount(own, minlength=len(self.known)), self.held).sum(axis=1)
+        for number in np.flatnonzero((whole >= self.least) & (self.least > 0)).tolist():
+            often = self.held[number][own]
+            order = np.argsort(own[often > 0], kind="stable")
+            word, place, most = own[often > 0][order], places[often > 0][order], often[often > 0][order]
+            earlier = np.arange(len(word)) - most
+            same = (earlier >= 0) & (word[np.maximum(earlier, 0)] == word)
+            first = np.where(same, place[np.maximum(earlier, 0)] + 1, 0)
+            first = np.maximum(first, place - self.length(number) + 1)
+            change = np.bincount(first, minlength=len(hashes) + 1) - np.bincount(place + 1, minlength=len(hashes) + 1)
+            counts = np.cumsum(change)[: len(hashes)]
+            enough = np.flatnonzero(counts >= self.least[number])
+            if len(enough):
+                ranked = enough[np.argsort(-counts[enough], kind="stable")]
+                found[number] = list(zip(counts[ranked].tolist(), ranked.tolist()))
+        return found
+
+    def length(self, number: int) -> int:
+        """Words of a window: the template's and slack at both ends."""
+        return len(self.words[number]) + 2 * (len(self.words[number]) // 4 + 3)
+
+    def accepts(self, number: int, words: list[bytes], start: int, aligned: list[tuple[int, int]]) -> bool:
+        """Whether the words that tell this license from others are as they must."""
+        if not aligned:
+            return False
+        held = {words[start + at] for at, _ in aligned} if self.required[number] else set()
+        between = words[start + aligned[0][0] : start + aligned[-1][0] + 1] if self.refused[number] else []
+        return held.issuperset(self.required[number]) and not set(self.refused[number]).intersection(between)
+
+    def best(
+        self, words: list[bytes], number: int, hits: list[tuple[int, int]], windows: list[tuple[int, int]] = []
+    ) -> tuple[int, int, int]:
         """``(aligned, start, end)`` of the best place of a template in a text.
 
         Hits are read in text order; where they jump back in the template, or
-        leave a gap longer than it, another occurrence begins.
+        leave a gap longer than it, another occurrence begins. Windows are
+        aligned as long as they hold more words than the best place.
         """
         template = self.words[number]
         runs: list[list[tuple[int, int]]] = []
@@ -172,7 +231,13 @@ class Templates:
             start = max(0, run[0][0] - run[0][1] - slack)
             end = run[-1][0] + len(template) - run[-1][1] + slack
             aligned = align(words[start:end], template)
-            if len(aligned) > best[0]:
+            if len(aligned) > best[0] and self.accepts(number, words, start, aligned):
+                best = (len(aligned), start + aligned[0][0], start + aligned[-1][0] + 1)
+        for count, start in windows:
+            if count <= best[0]:
+                break
+            aligned = align(words[start : start + self.length(number)], template)
+            if len(aligned) > best[0] and self.accepts(number, words, start, aligned):
                 best = (len(aligned), start + aligned[0][0], start + aligned[-1][0] + 1)
         return best
 
@@ -185,15 +250,19 @@ def shingle_keys(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(keys)
 
 
-def template_rows(templates: DataFrame, rule: Match) -> list[tuple[str, str]]:
-    """The templates on the driver, after their size has been checked."""
+def template_rows(templates: DataFrame, rule: Match) -> list[tuple[str, str, str, str]]:
+    """Id, text, required and refused words of the templates on the driver, after their size has been checked."""
     known = templates.filter(F.col("template_id").isNotNull()).select(
-        F.col("template_id").cast("string"), F.coalesce("text", F.lit("")).alias("text")
+        F.col("template_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"),
+        *(
+            (F.coalesce(name, F.lit("")) if name in templates.columns else F.lit("")).alias(name)
+            for name in ("required", "refused")
+        ),
     )
     size = known.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     if size > rule.most_words:
         raise ValueError(f"{size} template words are more than the {rule.most_words} that may be sent to tasks")
-    return sorted((row["template_id"], row["text"]) for row in known.collect())
+    return sorted(tuple(row) for row in known.collect())
 
 
 def default_templates(spark) -> DataFrame:
@@ -206,7 +275,7 @@ def scan_documents(documents: DataFrame, templates: DataFrame, rule: Match = Mat
     rows = template_rows(templates, rule)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Templates(rows, rule.shingle)
+        known = Templates(rows, rule)
         for batch, texts in chunks(batches, "text"):
             split = [words_of(text) for text in texts]
             hashes = word_hashes([word for words in split for word in words])
@@ -215,8 +284,10 @@ def scan_documents(documents: DataFrame, templates: DataFrame, rule: Match = Mat
                 own = hashes[place : place + len(words)]
                 place += len(words)
                 best: dict[str, tuple] = {}
-                for number, hits in (known.hits(own) if len(known.keys) else {}).items():
-                    aligned, start, end = known.best(words, number, hits)
+                hits = known.hits(own) if len(known.keys) else {}
+                windows = known.windows(own) if rule.everywhere else {}
+                for number in {**hits, **windows}:
+                    aligned, start, end = known.best(words, number, hits.get(number, []), windows.get(number, []))
                     name, share = known.names[number], aligned / len(known.words[number])
                     if share >= rule.coverage and (name not in best or share > best[name][1]):
                         best[name] = (name, share, start, end)

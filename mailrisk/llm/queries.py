@@ -145,7 +145,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scanned = licenses.scan_documents(documents, licenses.default_templates(spark))
+    scanned = licenses.scan_documents(
+        documents, licenses.default_templates(spark), licenses.Match(everywhere=True)
+    )
     best = F.get("licenses", F.lit(0))
     names = F.array_sort(F.transform("licenses", lambda match: match["template_id"]))
     return scanned.select(

@@ -93,3 +93,27 @@ def test_special_rows(spark):
     assert scan(spark, [(1, "copyright some RIGHTS")], templates=odd) == [(1, 3, [("one", 1.0, 0, 1), ("two", 1.0, 1, 3)])]
     with pytest.raises(ValueError, match="template words"):
         scan(spark, [(1, "x")], rule=Match(most_words=2))
+
+
+def test_every_place_that_reaches_the_coverage(spark):
+    chance = random.Random(4)
+    notices = {name: licenses.words_of(text.encode()) for name, text in licenses.TEMPLATES.items() if len(text) < 120}
+    names, rule = sorted(notices), Match(everywhere=True)
+    rows = [("Released under an MIT License",), (" ".join(w + (" so" if at % 2 else "") for at, w in enumerate("all rights reserved".split())),)]
+    for _ in range(150):
+        words = []
+        for name in chance.choices(names, k=2):
+            words += chance.choices(["lorem", "the", "license", "4", "by"], k=chance.randint(0, 9))
+            for word in notices[name]:
+                words += [] if chance.random() < 0.1 else [chance.choice(["x", "the", word.decode()]) if chance.random() < 0.2 else word.decode()]
+                words += ["ipsum"] * (chance.random() < 0.3)
+        rows.append((" ".join(words),))
+    known = licenses.Templates([(name, licenses.TEMPLATES[name], "", "") for name in names], rule)
+    found = scan(spark, [(at, *row) for at, row in enumerate(rows)], [(name, licenses.TEMPLATES[name]) for name in names], rule=rule)
+    for at, _, matches in found:
+        words, own = licenses.words_of(rows[at][0].encode()), {m[0]: m[1] for m in matches}
+        for number, name in enumerate(names):
+            size = len(notices[name])
+            best = max(len(licenses.align(words[p : p + known.length(number)], notices[name])) for p in range(len(words)))
+            assert best < 0.75 * size or own.get(name, 0) >= round(best / size, 3)  # shingles may add longer places
+    assert "mit-line" in {m[0] for m in found[0][2]} and scan(spark, [(1, *rows[0])])[0][2] == []
