@@ -60,6 +60,69 @@ TEMPLATES = {
         Software.""",
     "mit-line": "Released under the MIT License.",
 }
+_GNU = """{what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} Public License
+    as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later
+    version. {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+    warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} Public License for more details."""
+_GNU_LINE = "This work is licensed under the GNU {name} Public License, version {version}."
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+    following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+    conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
+    this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+    distribution. {third} THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+    IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+    PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,
+    INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+    SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY
+    OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+    OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+    THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS
+    {holders} BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+    ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+TEMPLATES |= {
+    "agpl-3.0": _GNU.format(what="This program", name="Affero General", version="3"),
+    "agpl-3.0-line": _GNU_LINE.format(name="Affero General", version="3"),
+    "bsd-2-clause": _BSD.format(third=""),
+    "bsd-3-clause": _BSD.format(third="""3. Neither the name of the copyright holder nor the names of its contributors may be
+        used to endorse or promote products derived from this software without specific prior written permission."""),
+    "gpl-2.0": _GNU.format(what="This program", name="General", version="2"),
+    "gpl-2.0-line": _GNU_LINE.format(name="General", version="2"),
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS
+        PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+        WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT,
+        OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION
+        OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+        THIS SOFTWARE.""",
+    "lgpl-2.1": _GNU.format(what="This library", name="Lesser General", version="2.1"),
+    "lgpl-3.0": _GNU.format(what="This library", name="Lesser General", version="3"),
+    "mit-whole": TEMPLATES["mit"] + " " + _WARRANTY.format(holders="OR COPYRIGHT HOLDERS"),
+    "mpl-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
+        not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,
+        publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any
+        purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author
+        or authors of this software dedicate any and all copyright interest in the software to the public domain. We make
+        this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend
+        this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software
+        under copyright law. """ + _WARRANTY.format(holders=""),
+}
+_CC = {"by", "nc", "sa", "nd"}
+for _parts in ("by", "by-sa", "by-nd", "by-nc-sa", "by-nc-nd"):
+    TEMPLATES[f"cc-{_parts}-4.0-line"] = f"Licensed under CC {_parts.upper()} 4.0."
+#: Words that tell a license from its kin: aligned ones, and ones that may not stand between them.
+REQUIRED = {
+    "agpl-3.0": "affero 3", "agpl-3.0-line": "affero 3", "apache-2.0": "apache 2", "apache-2.0-line": "apache 2",
+    "bsd-3-clause": "endorse promote", "gpl-2.0": "2", "gpl-2.0-line": "2", "gpl-3.0": "3", "gpl-3.0-line": "3",
+    "isc": "fee", "lgpl-2.1": "lesser 2 1", "lgpl-3.0": "lesser 3", "mit-line": "mit", "mit-whole": "liable",
+    "mpl-2.0": "mozilla 2", "unlicense": "unencumbered",
+}
+REFUSED = {name: "affero lesser library" for name in ("gpl-2.0", "gpl-2.0-line", "gpl-3.0", "gpl-3.0-line")}
+REFUSED["bsd-2-clause"] = "endorse promote"
+for _name in [name for name in TEMPLATES if name.startswith("cc-")]:
+    _own = set(_name.split("-")) & _CC
+    REQUIRED[_name], REFUSED[_name] = " ".join(sorted(_own | {"cc", "4"})), " ".join(sorted(_CC - _own))
 _PARTING = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 _FOLD = bytes.maketrans(bytes(range(0x41, 0x5B)) + _PARTING, bytes(range(0x61, 0x7B)) + b" " * len(_PARTING))
 
@@ -266,7 +329,8 @@ def template_rows(templates: DataFrame, rule: Match) -> list[tuple[str, str, str
 
 
 def default_templates(spark) -> DataFrame:
-    return spark.createDataFrame(list(TEMPLATES.items()), "template_id string, text string")
+    rows = [(name, text, REQUIRED.get(name, ""), REFUSED.get(name, "")) for name, text in TEMPLATES.items()]
+    return spark.createDataFrame(rows, "template_id string, text string, required string, refused string")
 
 
 def scan_documents(documents: DataFrame, templates: DataFrame, rule: Match = Match()) -> DataFrame:

@@ -117,3 +117,17 @@ def test_every_place_that_reaches_the_coverage(spark):
             best = max(len(licenses.align(words[p : p + known.length(number)], notices[name])) for p in range(len(words)))
             assert best < 0.75 * size or own.get(name, 0) >= round(best / size, 3)  # shingles may add longer places
     assert "mit-line" in {m[0] for m in found[0][2]} and scan(spark, [(1, *rows[0])])[0][2] == []
+
+
+def test_kin_licenses_are_told_apart(spark):
+    texts = {
+        "gpl-2.0-line": "This work is licensed under the GNU General Public License, version 2",
+        "agpl-3.0-line": "this work is licensed under the GNU Affero General Public License, version 3",
+        "cc-by-sa-4.0-line": "Licensed under CC BY-SA 4.0", "cc-by-4.0-line": "Licensed under CC BY 4.0",
+        "cc-by-nc-sa-4.0-line": "Licensed under CC BY-NC-SA 4.0",
+        **{name: licenses.TEMPLATES[name] for name in ("bsd-2-clause", "bsd-3-clause", "isc", "lgpl-2.1", "lgpl-3.0", "gpl-2.0", "agpl-3.0", "mpl-2.0", "unlicense")},
+    }
+    found = scan(spark, list(enumerate(texts.values())), rule=Match(everywhere=True))
+    assert [[m[0] for m in matches] for _, _, matches in found] == [[name] for name in texts]
+    whole = scan(spark, [(1, licenses.TEMPLATES["mit-whole"])])[0][2]
+    assert [m[:2] for m in whole] == [("mit", 1.0), ("mit-whole", 1.0)]
