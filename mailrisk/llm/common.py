@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # White space is U+0020 and U+0009 to U+000D, nothing else.
@@ -62,3 +62,26 @@ def same_row(left: DataFrame, right: DataFrame, *names: str) -> Column:
     for name in names:
         condition = condition & left[name].eqNullSafe(right[name])
     return condition
+
+
+PLACE_BITS = 33
+
+
+def numbered(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Rows sorted by ranges, with ``_place``: the range in the upper bits, the
+    row's number inside it in the lower ``PLACE_BITS``. No task sorts more than
+    its range. To be written before use, as places are given on the fly."""
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ranged.withColumn("_place", F.monotonically_increasing_id())
+
+
+def overall(rows: DataFrame) -> DataFrame:
+    """Written ``numbered`` rows with ``_overall``, their number from 0 on. What is
+    summed up in one task are the ranges, one row each."""
+    inside = F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    ranges = rows.groupBy(F.shiftright("_place", PLACE_BITS).alias("_range")).agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_range")) - F.col("_size")
+    starts = ranges.select("_range", before.alias("_start"))
+    return rows.withColumn("_range", F.shiftright("_place", PLACE_BITS)).join(starts, "_range").withColumn(
+        "_overall", F.col("_start") + inside
+    ).drop("_range", "_start")

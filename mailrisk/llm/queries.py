@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailrisk.llm import (
-    chat, contamination, licenses, minhash, mixing, quality, secrets, sharding, substrings, tokens,
+    chat, contamination, importance, licenses, minhash, mixing, quality, repair, secrets, sharding, simhash, substrings,
+    tokens,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,3 +157,30 @@ def op2_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(best["coverage"], 6).alias("best_coverage"),
         best["start"].alias("best_start"), best["end"].alias("best_end"),
     )
+
+
+@query
+def op11_repaired_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    repaired, report = repair.repair_conversations(repair.damaged(conversations))
+    found = report.join(repair.digests(repaired), "conv", "left")
+    counts = (F.coalesce(name, F.lit(0)).alias(name) for name in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost"))
+    named = conversations.select("conv_id", repair.conversation_key().alias("conv")).distinct()
+    return named.join(found, "conv", "left").select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+@query
+def op12_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    grouped = simhash.group_documents(documents, simhash.Fingerprinting(words=3, distance=2))
+    return grouped.select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op13_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = importance.resample(documents, table(spark, sf_dir, "benchmark"), importance.Resampling(longest=1))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")

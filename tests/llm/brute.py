@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLDED = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -115,3 +119,113 @@ def contaminated(rows, items, size=10):
                     found.add(item_id)
         result[doc_id] = (len(words), len(hit), sorted(str(item) for item in found if item is not None))
     return result
+
+
+def damaged_rows(rows):
+    """``rows`` of (conv_id, turn, role, text) -> the same after damage."""
+    result = []
+    for conv_id, turn, role, text in rows:
+        named = ":".join(" " if value is None else str(value) for value in (conv_id, turn))
+        fault = zlib.crc32(named.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if fault == 1:
+            text = ""
+        if fault == 2:
+            text = re.sub("[.!?]", "", text)
+        if fault == 4:
+            role = "user"
+        result += [(conv_id, turn, role, text)] * (0 if fault == 0 else 2 if fault == 3 else 1)
+    return result
+
+
+def repaired_turns(rows):
+    """``rows`` of (conv_id, turn, role, text), not damaged any more -> {conv_id: measures}."""
+    nothing, letters = "", {}
+    following, lacking = [2, 2, 3, 2], ["user", "user", "assistant", "user"]
+    kept_state = [{"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2}]
+    told = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        tie = hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+        told[conv_id].append((turn is not None, turn or 0, tie, turn, role, text))
+    result = {}
+    for conv_id, own in told.items():
+        own = [row[3:] for row in sorted(own)]
+        faults, seen = [], set()
+        for _, role, text in own:
+            letters = text.strip(" \t\n\x0b\x0c\r")
+            fault = "blank" if not letters else "duplicate" if (role, text) in seen else "truncated" if letters[-1] not in ".!?" else ""
+            seen.add((role, text))
+            faults.append(fault)
+        # Cheapest, then least, audit to the end from before each row in each state, with the rows it leaves.
+        best = {0: (0, "", ()), 3: (0, "", ()), 2: (2, "I", (("assistant", nothing),)),
+                1: (4, "II", (("user", nothing), ("assistant", nothing)))}
+        for (_, role, text), fault in reversed(list(zip(own, faults))):
+            here = {}
+            for state in range(4):
+                options = [(best[state][0] + 3, "D" + best[state][1], best[state][2])]
+                extra = int(fault == "truncated")
+                if fault not in ("blank", "duplicate"):
+                    if role[:1] in kept_state[state]:
+                        cost, audit, rest = best[kept_state[state][role[:1]]]
+                        options.append((cost + extra, "K" + audit, ((role, text), *rest)))
+                    cost, audit, rest = best[following[state]]
+                    options.append((cost + 2 + extra, "R" + audit, ((lacking[state], text), *rest)))
+                here[state] = min(options, key=lambda option: option[:2])
+            for _ in range(4):
+                for state in range(4):
+                    cost, audit, rest = here[following[state]]
+                    here[state] = min(here[state], (cost + 2, "I" + audit, ((lacking[state], nothing), *rest)), key=lambda option: option[:2])
+            best = here
+        turns = {turn for turn, _, _ in own if turn is not None}
+        initials = "".join(role[:1] if role[:1] in "sua" and role else "?" for _, role, _ in own)
+        cost, audit, rest = best[0]
+        result[conv_id] = (
+            max(turns) - min(turns) + 1 - len(turns) if turns else 0, *(faults.count(name) for name in ("blank", "duplicate", "truncated")),
+            sum(initials[at : at + 2] not in ("su", "ua", "au") for at in range(len(own) - 1)),
+            cost, audit, sha("\n".join(f"{role}:{text}" for role, text in rest)),
+        )
+    return result
+
+
+def simhash_groups(rows, size, distance):
+    """``rows`` of (doc_id, text) -> sorted (doc_id, fingerprint, component_id)."""
+    prints = []
+    for _, text in rows:
+        words = [word.translate(LOWER) for word in WORD.findall(text or "")]
+        grams = [" ".join(words[at : at + size]) for at in range(max(len(words) - size + 1, min(len(words), 1)))]
+        hashes = [xxhash.xxh64_intdigest(gram.encode(), 42) for gram in grams]
+        prints.append(sum((2 * sum(h >> bit & 1 for h in hashes) > len(hashes)) << bit for bit in range(64)))
+    component = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= distance:
+                a, b = component[i], component[j]
+                component = [b if one == a else one for one in component]
+    least = {}
+    for (doc_id, _), one in zip(rows, component):
+        if doc_id is not None:
+            least[one] = min(doc_id, least.get(one, doc_id))
+    return sorted(((doc_id, f"{key:016x}", least.get(one)) for (doc_id, _), key, one in zip(rows, prints, component)), key=str)
+
+
+def importance_draw(rows, target, longest=1, buckets=10_000, least_words=20, percent=10):
+    """``rows`` of (doc_id, text), ``target`` texts -> sorted (doc_id, n_features, weight, score, rank)."""
+    def grams(text):
+        words = FOLDED.findall((text or "").translate(LOWER))
+        return len(words), [
+            zlib.crc32(" ".join(words[at : at + size]).encode()) % buckets
+            for size in range(1, longest + 1) for at in range(len(words) - size + 1)
+        ]
+
+    found, aimed = [grams(text) for _, text in rows], Counter(one for text in target for one in grams(text)[1])
+    corpus = Counter(one for _, own in found for one in own)
+    s_all, t_all = corpus.total(), aimed.total()
+    result = []
+    for (doc_id, _), (n_words, own) in zip(rows, found):
+        gains = [math.floor(1000 * math.log((aimed[b] + 1) * (s_all + buckets) / ((corpus[b] + 1) * (t_all + buckets)))) for b in own]
+        weight = sum(gains) // len(gains) if gains else 0
+        drawn = int(sha(f"2024:{'' if doc_id is None else doc_id}")[:8], 16)
+        result.append((doc_id, len(own), weight, weight + math.floor(-1000 * math.log(-math.log((drawn + 0.5) / 2**32))), n_words))
+    fit = sorted((row for row in result if row[4] >= least_words), key=lambda row: (-row[3], row[0] is not None, row[0]))
+    ranks = {id(row): rank for rank, row in enumerate(fit[: percent * len(fit) // 100], 1)}
+    return sorted(((*row[:4], ranks.get(id(row))) for row in result), key=str)
