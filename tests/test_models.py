@@ -67,7 +67,8 @@ def test_vectors_and_similarity_match_brute_force(spark, prepared, monkeypatch):
         assert all(abs(got[t] - w) < 1e-12 for t, w in expected[row.row_key].items())
 
     # Small groups force the splitting of hot terms.
-    monkeypatch.setattr(similarity, "_GROUP_ROWS", 3)
+    for name, size in (("_SHELF_ROWS", 5), ("_PART_ROWS", 7), ("_NEIGHBOURS", 2), ("_PIVOT_PART", 2), ("_FIRST_SETS", 1)):
+        monkeypatch.setattr(similarity, name, size)
     keep = prepared.vectors.select("row_key", "is_test", "indices", "weights")
     found = similarity.max_similarity(keep.where("not is_test"), keep.where("is_test"), prepared.terms)
     found = {r.row_key: r.max_similarity for r in found.collect()}
