@@ -22,11 +22,9 @@ def read_canonical(spark: SparkSession, path: str) -> DataFrame:
 
     A table that already has a ``row_key`` keeps it.
     """
-    files = csv.list_files(spark, path)
-    if files:
-        rows = reduce(
-            lambda left, right: left.unionByName(right, allowMissingColumns=True), csv.read_feeds(spark, path)
-        )
+    feeds = csv.read_feeds(spark, path)
+    if feeds:
+        rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), feeds)
         return rows.drop(ROW_KEY, SOURCE) if "row_key" in rows.columns else rows.withColumnRenamed(ROW_KEY, "row_key").drop(SOURCE)
     rows = spark.read.parquet(path)
     if "row_key" in rows.columns:

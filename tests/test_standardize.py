@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv as python_csv
+import io
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +124,55 @@ def test_stored_tables_get_row_keys(spark, tmp_path):
         training.train(table)
     spark.createDataFrame([(5, "x", 1)], "row_key long, text_combined string, label int").write.parquet(str(tmp_path / "keyed"))
     assert tables.read_canonical(spark, str(tmp_path / "keyed")).first().row_key == 5
+
+
+def random_records(chance, n):
+    cells = ["plain", "", '5" disk', "a\nb", "x\r\ny", 'say "hi"', "comma, inside", "line\n" * 40, '"', "\n\n\n", "ü"]
+    return [[f"r{at}", chance.choice(cells), chance.choice(cells)] for at in range(n)]
+
+
+def as_csv(chance, records, end):
+    def cell(value):
+        special = any(c in value for c in ",\r\n") or value.startswith('"')
+        return '"' + value.replace('"', '""') + '"' if special or chance.random() < 0.2 else value
+
+    return "".join(",".join(map(cell, record)) + end for record in records)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("split_bytes", [60, 1000])
+def test_large_files_are_cut_at_true_record_ends(spark, tmp_path, end, split_bytes):
+    chance = random.Random(split_bytes)
+    expected = {}
+    for name in ("b", "a"):
+        records = random_records(chance, 60)
+        records[50] = ["r50", "over", "x", "y"]
+        if end == "\r":  # such files have no breaks but those between records
+            records = [[value.replace("\r", "").replace("\n", " ") for value in record] for record in records]
+        text = as_csv(chance, [["id", "one", "two"], *records], end)
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+        expected[f"{name}.csv"] = [
+            tuple(value or None for value in row) for row in list(python_csv.reader(io.StringIO(text, newline="")))[1:] if len(row) == 3
+        ]
+    settings = {"spark.sql.files.maxPartitionBytes": str(split_bytes), "spark.sql.files.openCostInBytes": "1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        assert csv._lines(spark, str(tmp_path)).rdd.getNumPartitions() > (4 if end != "\r" else 1)
+        (feed,) = csv.read_feeds(spark, str(tmp_path))
+        rows = feed.orderBy("_row_key").collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert [r["_source_file"] for r in rows] == sorted(r["_source_file"] for r in rows)
+    for name, wanted in expected.items():
+        assert [(r["id"], r["one"], r["two"]) for r in rows if r["_source_file"] == name] == wanted
+
+
+@pytest.mark.parametrize("line,outside,inside", [
+    (b"a,b", False, True), (b'a,"b', True, False), (b'a"b,c', False, False), (b'"a""', True, False), (b'"a"",b', True, False),
+    (b'a","b', True, True), (b'a",b"', False, False), (b'"",""', False, True), (b'"', True, False), (b'x"y"z,"q', True, True),
+])
+def test_state_of_a_line(line, outside, inside):
+    assert (csv.ends_inside(line, False), csv.ends_inside(line, True)) == (outside, inside)
