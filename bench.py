@@ -46,6 +46,8 @@ def main() -> None:
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "16",
+            # The given files have one row group each.
+            tables.SPREAD: "true",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

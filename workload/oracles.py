@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from workload import sql
 from workload.sql import with_parts
+from workload.tables import LABELLED_RAW
 
 ORACLES: dict[str, str] = {}
 
@@ -15,11 +16,6 @@ _FEATURES = (
 _ROUNDED = ", ".join(f"round({f}, 6) AS {f}" if f == "html_ratio" else f for f in _FEATURES)
 _MAIL = "row_key, source_file, sender, receiver, date, subject, body, urls, text_combined, label"
 
-_LABELLED = (
-    "SELECT row_key, CASE WHEN src_no = 3 THEN NULL WHEN src_no = 4 THEN '' ELSE source_file END AS source_file, "
-    "CASE WHEN row_key % 31 = 0 THEN NULL WHEN row_key % 31 = 1 THEN concat(' ', chr(9)) "
-    "ELSE concat(' ', body) END AS text_combined, raw_label FROM raw_mails"
-)
 _NUMERIC = "TRY_CAST(trim(raw_label) AS DOUBLE)"
 
 ORACLES["q_clean_value"] = with_parts("raw_mails") + (
@@ -49,12 +45,12 @@ UNION ALL SELECT 'label_0', (SELECT count(*) FROM mails WHERE label = 0)
 UNION ALL SELECT 'label_1', (SELECT count(*) FROM mails WHERE label = 1)"""
 ORACLES["q_load_eda"] = with_parts("raw_mails") + (
     f"SELECT row_key, source_file, coalesce(text_combined, '') AS text_combined, "
-    f"CAST({_NUMERIC} AS INTEGER) AS label FROM ({_LABELLED}) WHERE {_NUMERIC} IN (0, 1)"
+    f"CAST({_NUMERIC} AS INTEGER) AS label FROM ({LABELLED_RAW}) WHERE {_NUMERIC} IN (0, 1)"
 )
 ORACLES["q_load_training"] = with_parts("raw_mails") + (
     f"SELECT row_key, coalesce(source_file, 'unknown') AS source_file, "
     f"{sql.strip('text_combined')} AS text_combined, CAST({_NUMERIC} AS INTEGER) AS label "
-    f"FROM ({_LABELLED}) WHERE {_NUMERIC} IN (0, 1) AND {sql.strip('text_combined')} <> ''"
+    f"FROM ({LABELLED_RAW}) WHERE {_NUMERIC} IN (0, 1) AND {sql.strip('text_combined')} <> ''"
 )
 
 ORACLES["q_clean_text"] = f"SELECT doc_id, {sql.clean_text('text')} AS text_cleaned FROM documents"
@@ -144,7 +140,7 @@ ORACLES["q_missing"] = with_parts("standardized") + "\nUNION ALL ".join(
 )
 ORACLES["q_sources"] = with_parts("raw_mails") + (
     "SELECT CASE WHEN coalesce(source_file, '') = '' THEN 'unknown' ELSE source_file END AS source_file, "
-    f"count(*) AS row_count, round(count(*) / sum(count(*)) OVER (), 6) AS row_rate FROM ({_LABELLED}) GROUP BY 1"
+    f"count(*) AS row_count, round(count(*) / sum(count(*)) OVER (), 6) AS row_rate FROM ({LABELLED_RAW}) GROUP BY 1"
 )
 
 

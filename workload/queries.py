@@ -35,19 +35,6 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(F.col(name), digits) for name in names})
 
 
-def labelled_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw mails as a standardized-looking table whose label is still text."""
-    raw = tables.raw_mails(spark, sf_dir)
-    return raw.select(
-        "row_key",
-        F.when(F.col("src_no") == 3, None).when(F.col("src_no") == 4, "").otherwise(F.col("source_file")).alias("source_file"),
-        F.when(F.col("row_key") % 31 == 0, None)
-        .when(F.col("row_key") % 31 == 1, " \t")
-        .otherwise(F.concat(F.lit(" "), F.col("body"))).alias("text_combined"),
-        F.col("raw_label").alias("label"),
-    )
-
-
 # --- standardization ---------------------------------------------------------
 
 
@@ -84,12 +71,12 @@ def q_standardize_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_load_eda(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loading.load_for_profiling(labelled_raw(spark, sf_dir))
+    return loading.load_for_profiling(tables.labelled_raw(spark, sf_dir))
 
 
 @query
 def q_load_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loading.load_for_training(labelled_raw(spark, sf_dir))
+    return loading.load_for_training(tables.labelled_raw(spark, sf_dir))
 
 
 # --- cleaning and features ---------------------------------------------------
@@ -184,7 +171,7 @@ def q_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(profile.source_distribution(labelled_raw(spark, sf_dir)), "row_rate")
+    return rounded(profile.source_distribution(tables.labelled_raw(spark, sf_dir)), "row_rate")
 
 
 @query

@@ -2,7 +2,8 @@
 
 The tables hold no mail, so headers, labels and link lists are derived from
 ``documents`` and ``labels`` with fixed CASE rules that reach every branch of
-the operators. Copies of a text get the same derived fields, so exact, repeated
+the operators. Every given text is used as it is; two mails per source, one with
+an empty and one without a body, are added to them. Copies of a text get the same derived fields, so exact, repeated
 and conflicting mails occur. The same SQL text runs in both engines.
 """
 
@@ -29,10 +30,10 @@ SELECT d.doc_id AS row_key, d.source AS source_file,
     ELSE 'Mon, 1 Jan 2024 10:00:00 +0000' END AS date,
   CASE
     WHEN d.n_chars % 9 = 0 THEN 'NULL'
-    WHEN d.n_chars % 9 = 1 THEN concat('  URGENT!! ', split_part(d.text, chr(10), 1))
+    WHEN d.n_chars % 9 = 1 THEN '  URGENT!! ' || split_part(d.text, chr(10), 1)
     WHEN d.n_chars % 9 = 2 THEN NULL
     ELSE split_part(d.text, chr(10), 1) END AS subject,
-  CASE WHEN d.doc_id % 29 = 0 THEN '' ELSE d.text END AS body,
+  d.text AS body,
   CASE d.n_chars % 10
     WHEN 0 THEN concat('[', chr(39), 'http://a.example/x', chr(39), ',', chr(39), 'http://b.example/y', chr(39), ']')
     WHEN 1 THEN 'http://a.example/x,http://b.example/y'
@@ -53,7 +54,19 @@ SELECT d.doc_id AS row_key, d.source AS source_file,
     WHEN d.doc_id % 13 = 3 THEN '-1'
     WHEN d.lang = 'en' THEN '0'
     ELSE '1' END AS raw_label
-FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+FROM (
+  SELECT doc_id, text, source, n_chars, lang FROM documents
+  UNION ALL SELECT -1 - 2 * min(doc_id), '', source, min(n_chars), min(lang) FROM documents GROUP BY source
+  UNION ALL SELECT -2 - 2 * max(doc_id), CAST(NULL AS STRING), source, max(n_chars), max(lang) FROM documents GROUP BY source
+) d LEFT JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+# Raw mails before labels are read; those without a body come once more, without a
+# source and with a text.
+LABELLED_RAW = """
+SELECT row_key, source_file, ' ' || body AS text_combined, raw_label FROM raw_mails
+UNION ALL SELECT row_key - 4000000000000000000, CASE WHEN body = '' THEN '' END, ' unsourced ' || source_file, raw_label
+FROM raw_mails WHERE body IS NULL OR body = ''
 """
 
 # Mails pasted as one text: header lines in several shapes before a conversation turn.
@@ -71,20 +84,9 @@ FROM conversations
 """
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table.
-
-    A file with a single row group is read by one task whatever its size. Where
-    a table has fewer files than the session has cores, its rows are spread
-    first; a table of many files is left as it is.
-    """
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_KEYS and len(rows.inputFiles()) < cores:
-        rows = rows.repartition(cores, *SPREAD_KEYS[name])
-    return rows
-
-
+#: Session setting: spread the rows of a table before use. A file with a single row
+#: group is read by one task; whoever has such files and many cores asks for it.
+SPREAD = "mailrisk.workload.spread"
 SPREAD_KEYS = {
     "documents": ("doc_id",),
     "pages": ("page_id",),
@@ -92,6 +94,14 @@ SPREAD_KEYS = {
 }
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One given table."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name in SPREAD_KEYS and spark.conf.get(SPREAD, "false") == "true":
+        rows = rows.repartition(spark.sparkContext.defaultParallelism, *SPREAD_KEYS[name])
+    return rows
+
+
 def _sql(spark: SparkSession, sf_dir: str, text: str, *names: str) -> DataFrame:
     return spark.sql(
         _with_placeholders(text, names), **{name: table(spark, sf_dir, name) for name in names}
@@ -111,6 +121,12 @@ def raw_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, sf_dir, RAW_MAILS, "documents", "labels")
 
 
+def labelled_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw mails as a standardized-looking table whose label is still text."""
+    text = _with_placeholders(LABELLED_RAW, ("raw_mails",))
+    return spark.sql(text, raw_mails=raw_mails(spark, sf_dir)).withColumnRenamed("raw_label", "label")
+
+
 def pasted_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pasted_mails_from(table(spark, sf_dir, "conversations"))
 
