@@ -68,11 +68,11 @@ def ends_inside(line: bytes, inside: bool) -> bool:
     return _ENDS_OPEN.match(line) is not None
 
 
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    """``location, block, line`` (bytes) of all CSV files below a folder. A split's lines
+def _lines(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+    """``location, block, line`` (bytes) of the matching files below a folder. A split's lines
     arrive one after another; ``block`` is its first byte."""
     lines = (
-        spark.read.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+        spark.read.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
         .option("lineSep", "\n").load(folder)
     )
     return lines.select(
@@ -139,10 +139,10 @@ def _at_returns(record: bytes) -> list[bytes]:
     return [one for one in found if one]
 
 
-def read_records(spark: SparkSession, folder: str) -> DataFrame:
+def read_records(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """``location, place, record`` (bytes) of all records that are not empty, headers
     included; ``place`` grows with the position in the file."""
-    lines = _lines(spark, folder)
+    lines = _lines(spark, folder, pattern)
     inner = _inner_splits(lines)
     schema = "location string, place long, kind int, record binary"
     names = ["location", "place", "kind", "record"]
@@ -231,7 +231,8 @@ def _cells(header: bytes, encoding: str) -> tuple[str, ...]:
     return tuple(next(csv.reader(io.StringIO(text, newline="")), ()))
 
 
-def _allow_windows_encoding(spark: SparkSession) -> None:
+def allow_windows_encoding(spark: SparkSession) -> None:
+    """Let the session read and write Windows-1252."""
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
 
 
@@ -267,10 +268,10 @@ def _feed(records: DataFrame, files: DataFrame, header: tuple[str, ...], encodin
     return fitting.select(ROW_KEY, SOURCE, *cells).toDF(ROW_KEY, SOURCE, *header)
 
 
-def read_feeds(spark: SparkSession, folder: str) -> list[DataFrame]:
-    """All CSV files below a folder, as one feed per header and encoding."""
-    _allow_windows_encoding(spark)
-    records = read_records(spark, folder)
+def read_feeds(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[DataFrame]:
+    """All matching files below a folder, as one feed per header and encoding."""
+    allow_windows_encoding(spark)
+    records = read_records(spark, folder, pattern)
     files = file_facts(records)
     kinds = files.groupBy("header", "encoding").agg(F.min("position").alias("first")).orderBy("first").collect()
     same: dict[tuple, list[bytes]] = defaultdict(list)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from workload import sql
 from workload.sql import with_parts
-from workload.tables import LABELLED_RAW
+from workload.tables import LABELLED_RAW, csv_texts
 
 ORACLES: dict[str, str] = {}
 
@@ -426,6 +426,15 @@ SELECT substr(text_combined, 1, 700) AS original_email_preview, label AS true_la
   coalesce(t.l, '') AS top_text_terms, coalesce(m.l, '') AS top_metadata_features
 FROM chosen, t, m"""
 
+ORACLES["q_soc_entries"] = with_parts("full_score", "text_rows", "metadata_rows") + """
+, chosen AS (SELECT row_key, label FROM full_score WHERE is_test ORDER BY p DESC, row_key LIMIT 1)
+SELECT chosen.label AS true_label, 'text' AS kind, CAST(rank AS INTEGER) AS rank, term AS name, round(weight, 6) AS value,
+  round(coefficient, 6) AS coefficient, round(contribution, 6) AS contribution
+FROM text_rows JOIN chosen USING (row_key) WHERE rank <= 10
+UNION ALL SELECT label, 'metadata', CAST(row_number() OVER (ORDER BY abs(c) DESC, position) AS INTEGER), feature,
+  round(scaled_value, 6), round(coefficient, 6), round(c, 6)
+FROM (SELECT chosen.label, feature, position, scaled_value, coefficient, contribution AS c FROM metadata_rows JOIN chosen USING (row_key))"""
+
 # Pasted mails scored with the closed-form model.
 sql.PARTS["pasted_features"] = (
     sql.feature_columns("parsed", sql.MAIL_PART_COLUMNS, "conv_id, turn, mail"), ("parsed",),
@@ -490,4 +499,12 @@ ORACLES["q_model_roundtrip"] = with_parts("full_score") + (
 ORACLES["q_csv_ingest"] = with_parts("usable") + (
     "SELECT sender, receiver, date, subject, body, urls, text_combined, label FROM usable"
 )
+ORACLES["q_csv_variants"] = f"""
+WITH texts AS ({csv_texts("regexp_replace({}, '[^" + chr(92) + "x00-" + chr(92) + "x7F]', chr(233), 'g')")}),
+cells AS (
+  SELECT '' AS sender, {sql.clean("CASE WHEN variant = 'clash' THEN concat('first ', doc_id) ELSE subject END")} AS subject,
+    {sql.clean("body")} AS body, '' AS urls, CAST(CASE label WHEN 'spam' THEN 1 ELSE 0 END AS INTEGER) AS label FROM texts
+  UNION ALL SELECT '', '', '', '', NULL FROM (SELECT DISTINCT variant FROM texts))
+SELECT sender, subject, body, urls, trim({sql.swap("concat(subject, ' ', body, ' ', urls)", f"[{sql.SPACE}]+", " ")}, ' ') AS text_combined, label
+FROM cells"""
 ORACLES["q_sinks"] = with_parts("mails") + "SELECT row_key, source_file, label, text_combined FROM mails"

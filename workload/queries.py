@@ -457,6 +457,25 @@ def q_soc_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(flat, "phishing_probability", "risk_score")
 
 
+@query
+def q_soc_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every entry of both lists of the report, written as JSON rows and read back."""
+    vectors, model = closed_form_model(spark, sf_dir)
+    report = explain.soc_report(vectors.where("is_test"), model)
+    folder = new_folder(spark, "report")
+    sinks.write_json(report, folder)
+    read = spark.read.schema(report.schema).json(folder)
+    texts = read.select("true_label", F.posexplode("top_text_contributions").alias("position", "e")).select(
+        "true_label", F.lit("text").alias("kind"), (F.col("position") + 1).alias("rank"), F.col("e.term").alias("name"),
+        F.col("e.tfidf_value").alias("value"), "e.coefficient", "e.contribution",
+    )
+    metadata = read.select("true_label", F.posexplode("top_metadata_contributions").alias("position", "e")).select(
+        "true_label", F.lit("metadata").alias("kind"), (F.col("position") + 1).alias("rank"), F.col("e.feature").alias("name"),
+        F.col("e.scaled_value").alias("value"), "e.coefficient", "e.contribution",
+    )
+    return rounded(texts.unionByName(metadata), "value", "coefficient", "contribution")
+
+
 @query
 def q_score_pasted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parse, vectorize and score pasted mails in batch."""
@@ -588,6 +607,23 @@ def q_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mails.select("sender", "receiver", "date", "subject", "body", "urls", "text_combined", "label")
 
 
+@query
+def q_csv_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files as they come: a byte order mark, Windows-1252, an undefined byte, quoted line
+    breaks, headers that clash or are quoted, short, over-long and empty rows."""
+    folder = new_folder(spark, "raw-variants")
+    csv.allow_windows_encoding(spark)
+    variants = tables.csv_variants(spark, sf_dir)
+    for name, (header, encoding) in tables.VARIANTS.items():
+        first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # every file starts with a header
+        line = F.when(first, F.concat(F.lit(header + "\n"), F.col("record"))).otherwise(F.col("record"))
+        rows = variants.where(F.col("variant") == name).select(F.encode(line, encoding).cast("string").alias("value"))
+        rows.write.text(f"{folder}/{name}")
+    feeds = csv.read_feeds(spark, folder, "*.txt")
+    standard = write_stage(standardize.standardize_feeds(spark, feeds), "csv-variants")
+    return standard.select("sender", "subject", "body", "urls", "text_combined", "label")
+
+
 @query
 def q_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mail table written as CSV and read back by the loader of the training step."""

@@ -69,6 +69,33 @@ UNION ALL SELECT row_key - 4000000000000000000, CASE WHEN body = '' THEN '' END,
 FROM raw_mails WHERE body IS NULL OR body = ''
 """
 
+# Raw CSV records of several kinds of files, every text whole; all but the first kind
+# are folded to what their encoding holds. Each kind has further rows: a short one,
+# one with too many fields, an empty one.
+VARIANTS = {
+    "bom": ("\ufeffid,subject,message,label", "UTF-8"),
+    "windows": ("id,Subject,Message,Class", "windows-1252"),
+    "latin": ('id,"Email\nSubject",Body,is-phishing', "ISO-8859-1"),
+    "clash": ("id,Subject,subject ,body,Label,label", "UTF-8"),
+}
+
+
+def csv_texts(fold: str) -> str:
+    """SQL for ``variant, doc_id, label, subject, body``; ``fold`` replaces all but ASCII
+    characters of ``{}`` by an e acute, in the words of the engine."""
+    return f"""
+SELECT variant, doc_id, label,
+  CASE variant WHEN 'windows' THEN {fold.format("subject")} WHEN 'latin' THEN {fold.format("subject")} || ' ' || chr(129)
+    ELSE subject END AS subject,
+  CASE WHEN variant IN ('windows', 'latin') THEN {fold.format("body")} ELSE body END AS body
+FROM (
+  SELECT doc_id, split_part(text, chr(10), 1) AS subject, text AS body,
+    CASE WHEN n_chars % 2 = 0 THEN 'spam' ELSE 'ham' END AS label,
+    CASE WHEN src % 4 = 0 THEN 'bom' WHEN src % 4 = 1 THEN 'windows' WHEN src % 4 = 2 THEN 'latin' ELSE 'clash' END AS variant
+  FROM (SELECT *, CAST(substr(source, 4) AS INT) AS src FROM documents))
+"""
+
+
 # Mails pasted as one text: header lines in several shapes before a conversation turn.
 PASTED_MAILS = """
 SELECT conv_id, turn,
@@ -127,6 +154,25 @@ def labelled_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(text, raw_mails=raw_mails(spark, sf_dir)).withColumnRenamed("raw_label", "label")
 
 
+def csv_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``variant, record``: raw CSV records of every document, and odd rows of each kind."""
+    texts = _sql(spark, sf_dir, csv_texts("regexp_replace({}, '[^\\\\x00-\\\\x7F]', chr(233))"), "documents")
+
+    def quoted(name: str):
+        return F.concat(F.lit('"'), F.replace(F.col(name), F.lit('"'), F.lit('""')), F.lit('"'))
+
+    fields = [F.concat(F.lit("id "), F.col("doc_id").cast("string"))]
+    twice = F.when(F.col("variant") == "clash", F.concat(F.lit("first "), F.col("doc_id").cast("string"), F.lit(",")))
+    records = texts.select("variant", F.concat(
+        *fields, F.lit(","), F.coalesce(twice, F.lit("")), quoted("subject"), F.lit(","), quoted("body"), F.lit(","), F.col("label"),
+        F.when(F.col("variant") == "clash", F.lit(",9")).otherwise(F.lit("")),
+    ).alias("record"))
+    odd = texts.select("variant").distinct().select(
+        "variant", F.explode(F.array(F.lit("short"), F.lit("too,many,1,2,3,4,fields"), F.lit(""))).alias("record")
+    )
+    return records.unionByName(odd)
+
+
 def pasted_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pasted_mails_from(table(spark, sf_dir, "conversations"))
 
