@@ -6,12 +6,14 @@ written table: ranking metrics read them a few times.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailrisk.functions.risk import risk_level, risk_score
+from mailrisk.session import write_stage
 
 # Sample sizes and the named source-holdout experiments.
 ERROR_SAMPLES = 10
@@ -24,7 +26,8 @@ HOLDOUT_EXPERIMENTS = (
 CELLS = ("true_negative", "false_positive", "false_negative", "true_positive")
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
 
-_SCORE_RANGES = 64
+# Distinct scores that one task sums up in order.
+_RANGE_ROWS = 500_000
 
 
 def _ratio(numerator: Column, denominator: Column) -> Column:
@@ -61,28 +64,23 @@ def cumulative_counts(predictions: DataFrame) -> DataFrame:
     the highest score down to it, ``tp, fp``.
 
     Equal scores are merged before anything is ordered. A running sum over all
-    scores would need one task, so scores are cut at approximate quantiles (64
-    ranges per model, found by a first job); each range is summed on its own
-    and shifted by the total of the ranges above it.
+    scores would need one task, so they are dealt into ranges, as many as their
+    number asks for; each range is summed on its own and shifted by the totals
+    of the ranges above it, one row each.
     """
     scored = predictions.where(F.col("score").isNotNull())
-    counts = scored.groupBy("model", "score").agg(
-        F.count_if(F.col("label") == 1).alias("positives"),
-        F.count_if(F.col("label") == 0).alias("negatives"),
+    counts = write_stage(
+        scored.groupBy("model", "score").agg(
+            F.count_if(F.col("label") == 1).alias("positives"),
+            F.count_if(F.col("label") == 0).alias("negatives"),
+        ),
+        "score-counts",
     )
-    steps = [i / _SCORE_RANGES for i in range(1, _SCORE_RANGES)]
-    cuts = counts.groupBy("model").agg(F.percentile_approx("score", steps, 10_000).alias("cuts"))
-    edges = {row["model"]: row["cuts"] for row in cuts.collect()}
-    if not edges:
-        return counts.select("*", F.col("positives").alias("tp"), F.col("negatives").alias("fp"))
-    # One array of 63 numbers per model.
-    cut_points = F.coalesce(
-        *(F.when(F.col("model") == m, F.array(*map(F.lit, sorted(set(e))))) for m, e in edges.items())
+    ranges = max(1, math.ceil(counts.count() / _RANGE_ROWS))
+    ranged = write_stage(
+        counts.repartitionByRange(ranges, "model", F.desc("score")).withColumn("range", F.spark_partition_id()), "score-ranges"
     )
-    ranged = counts.withColumn(
-        "range", F.size(F.filter(cut_points, lambda cut: cut < F.col("score")))
-    )
-    above = Window.partitionBy("model").orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy("model").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         ranged.groupBy("model", "range")
         .agg(F.sum("positives").alias("p"), F.sum("negatives").alias("n"))
@@ -93,8 +91,7 @@ def cumulative_counts(predictions: DataFrame) -> DataFrame:
         )
     )
     inside = Window.partitionBy("model", "range").orderBy(F.desc("score"))
-    # ``shifts`` has at most 64 rows per model.
-    return ranged.join(F.broadcast(shifts), ["model", "range"]).select(
+    return ranged.join(shifts, ["model", "range"]).select(
         "model", "score", "positives", "negatives",
         (F.sum("positives").over(inside) + F.col("p_above")).alias("tp"),
         (F.sum("negatives").over(inside) + F.col("n_above")).alias("fp"),

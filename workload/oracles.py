@@ -435,6 +435,11 @@ UNION ALL SELECT label, 'metadata', CAST(row_number() OVER (ORDER BY abs(c) DESC
   round(scaled_value, 6), round(coefficient, 6), round(c, 6)
 FROM (SELECT chosen.label, feature, position, scaled_value, coefficient, contribution AS c FROM metadata_rows JOIN chosen USING (row_key))"""
 
+ORACLES["q_linear_certificates"] = with_parts("split", "vocabulary") + """
+SELECT model, (SELECT count(*) FROM split WHERE NOT is_test) AS train_rows, (SELECT count(*) FROM vocabulary) AS vocabulary,
+  CAST(0 AS DOUBLE) AS relative_gap, true AS bounded
+FROM (VALUES ('logistic_regression'), ('linear_svm'), ('logistic_regression_text_metadata')) models(model)"""
+
 # Pasted mails scored with the closed-form model.
 sql.PARTS["pasted_features"] = (
     sql.feature_columns("parsed", sql.MAIL_PART_COLUMNS, "conv_id, turn, mail"), ("parsed",),

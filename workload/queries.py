@@ -12,7 +12,7 @@ from mailrisk.functions import labels, links, text
 from mailrisk.functions.entities import decode_entities
 from mailrisk.functions.mail import parse_mail
 from mailrisk.operators import (
-    bayes, dedup, evaluate, explain, features, learners, linear, profile, similarity, split,
+    bayes, certificates, dedup, evaluate, explain, features, learners, linear, profile, similarity, split,
     standardize, svd, terms,
 )
 from mailrisk.plans import standardization, training
@@ -556,6 +556,21 @@ def q_lr_text_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(spark, sf_dir, training.fit_final_model(trained(spark, sf_dir)))
 
 
+@query
+def q_linear_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three linear learners with bounds on their distance from the optimum."""
+    prepared = trained(spark, sf_dir)
+    train, counts = prepared.train, prepared.counts
+    text = learners.fit_logistic(train, prepared.terms, counts)
+    svm = learners.fit_linear_svm(train, prepared.terms, counts)
+    final = training.fit_final_model(prepared)
+    gaps = certificates.duality_gap(text, train, counts, learners.TEXT_C, "logistic", False).unionByName(
+        certificates.duality_gap(svm, train, counts, learners.TEXT_C, "squared_hinge", True)
+    ).unionByName(certificates.duality_gap(final, train, counts, learners.METADATA_C, "logistic", False))
+    sizes = F.lit(prepared.terms.size).cast("long").alias("vocabulary")
+    return gaps.select("model", "train_rows", sizes, F.round("relative_gap", 3).alias("relative_gap"), (F.col("dual") <= F.col("primal")).alias("bounded"))
+
+
 @query
 def q_svd(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = trained(spark, sf_dir)
