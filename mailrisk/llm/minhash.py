@@ -170,47 +170,102 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> Stage:
-    """Members (``node``) against their hub (``low``): ``n`` shingles, ``alike``,
-    ``apart`` (size of the symmetric difference), and as ``marks`` the first
-    shingles of that difference, those the hub lacks before those it has.
+    """Members (``node``) against their hub (``low``): ``n`` shingles, ``alike``, and
+    as ``marks`` the ``apart`` shingles of the symmetric difference.
 
     Two members x and y that are alike have a difference of at most
     ``s = (1 - t) / (1 + t) * (|x| + |y|)`` shingles, so their differences from
     the hub share at least half of ``apart_x + apart_y - s``. If x is not alike
-    the hub, that is more than ``apart_y * (1 - (1 - t) / (1 + t)) / 2``; and it
-    is never below ``apart - s``. Hence some shared shingle lies among the first
-    ``len(marks)`` of x and the first ``n_marks`` of y.
+    the hub, that is more than ``apart_y * (1 - (1 - t) / (1 + t)) / 2``. The
+    member with the larger difference shares no less than ``apart - s``, the one
+    with the smaller no less than ``apart - s / 2``. Hence, in any order that all
+    members of a hub have in common, the first shingle they share lies among the
+    first ``n_probe`` of the larger and the first ``n_index`` of the smaller
+    difference.
     """
     share = rule.percent / 100
     gap = (1 - share) / (1 + share)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list] = [[], [], [], [], []]
+            columns: list[list] = [[], [], [], [], [], []]
             for a, b in zip(batch.column("mine"), batch.column("theirs")):
                 own, hub = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
                 added, dropped = np.setdiff1d(own, hub, True), np.setdiff1d(hub, own, True)
                 apart = len(added) + len(dropped)
                 alike = _similar(len(own) - len(added), len(own), len(hub), rule.percent)
                 # A thousandth is taken off against rounding; marks only get more.
-                shared = max(1, math.ceil(apart - gap * len(own) * (1 + 1 / share) - 0.001))
-                most = max(shared, math.floor(apart * (1 - gap) / 2 - 0.001) + 1)
-                n_marks = apart - most + 1
-                marks = np.concatenate([added, dropped])[: n_marks if alike else apart - shared + 1]
-                for column, value in zip(columns, (len(own), alike, apart, n_marks, marks.view(np.int64))):
+                most = gap * len(own) * (1 + 1 / share)
+                odd = math.floor(apart * (1 - gap) / 2 - 0.001) + 1
+                larger = max(1, math.ceil(apart - most - 0.001), odd if alike else 1)
+                smaller = max(1, math.ceil(apart - most / 2 - 0.001), odd)
+                n_probe, n_index = max(apart - larger + 1, 1), max(apart - smaller + 1, 1)
+                marks = np.concatenate([added, dropped])
+                for column, value in zip(columns, (len(own), alike, apart, n_probe, n_index, marks.view(np.int64))):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("node"), batch.column("low"), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.bool_()),
-                    pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.list_(pa.int64())),
+                    pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.int32()),
+                    pa.array(columns[5], pa.list_(pa.int64())),
                 ],
-                names=["node", "low", "n", "alike", "apart", "n_marks", "marks"],
+                names=["node", "low", "n", "alike", "apart", "n_probe", "n_index", "marks"],
             )
 
-    schema = "node long, low long, n long, alike boolean, apart long, n_marks int, marks array<long>"
+    schema = "node long, low long, n long, alike boolean, apart long, n_probe int, n_index int, marks array<long>"
     return new_stage(_with_sets(pairs, sets).mapInArrow(compare, schema), "compared")
 
 
+def _placed(grouped: DataFrame) -> DataFrame:
+    """``grouped`` members with one row per ``mark`` that others of the hub have, too,
+    and its place ``at`` in the order from rare to common marks, where marks of
+    one member come first. Hubs that all members are alike, or with one member,
+    have no rows."""
+    hubs = grouped.groupBy("low").agg(F.count(F.lit(1)).alias("n"), F.bool_or(~F.col("alike")).alias("odd")).filter("n > 1 AND odd")
+    marks = grouped.join(hubs.select("low"), "low", "left_semi").select("node", F.col("low").alias("hub"), F.explode("marks").alias("mark"))
+    common = marks.groupBy("hub", "mark").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    shared = marks.join(common, ["hub", "mark"]).groupBy("node", "hub").agg(
+        F.array_sort(F.collect_list(F.struct("held", "mark"))).alias("shared")
+    )
+    members = grouped.drop("marks").withColumnRenamed("low", "hub").join(shared, ["node", "hub"])
+    alone = F.col("apart") - F.size("shared")
+    return members.select("*", F.posexplode("shared").alias("at", "one")).select(
+        *members.drop("shared").columns, F.col("one.mark").alias("mark"), (F.col("at") + alone).alias("at")
+    )
+
+
+def _possible(grouped: DataFrame, rule: Similarity) -> DataFrame:
+    """``node, low`` of members of one hub, not both alike it and not in one group
+    (``root``) yet, that may be alike by what they differ in from the hub.
+
+    A pair is only needed at the first shingle it shares, so at a shared shingle
+    each member can share no more than what follows in its own difference: a
+    shingle that many have in common comes late in all of them, where too little
+    follows, and makes no pairs.
+    """
+    percent = rule.percent
+    placed = new_stage(_placed(grouped).filter(F.col("at") < F.greatest("n_probe", "n_index")), "marks")
+
+    def role(length: str, prefix: str) -> DataFrame:
+        return placed.rows.filter(F.col("at") < F.col(length)).select(
+            "hub", "mark", *(F.col(name).alias(prefix + name) for name in ("node", "n", "apart", "alike", "root", "at"))
+        )
+
+    n, apart = F.col("n") + F.col("low_n"), F.col("apart") + F.col("low_apart")
+    after = F.least(F.col("apart") - F.col("at"), F.col("low_apart") - F.col("low_at"))
+    possible = (
+        (F.col("root") != F.col("low_root")) & ~(F.col("alike") & F.col("low_alike"))
+        & (F.struct("low_apart", "low_node") < F.struct("apart", "node"))
+        & (F.least("n", "low_n") * 100 >= F.greatest("n", "low_n") * percent)
+        & ((F.col("apart") - F.col("low_apart")) * (100 + percent) <= n * (100 - percent))
+        & (2 * after * (100 + percent) >= apart * (100 + percent) - n * (100 - percent))
+    )
+    met = role("n_probe", "").join(role("n_index", "low_"), ["hub", "mark"]).filter(possible)
+    pairs = new_stage(_ordered(met.select("node", F.col("low_node").alias("low"))).distinct(), "possible")
+    placed.remove()
+    return pairs.rows
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("node", "low").alias("node"), F.least("node", "low").alias("low"))
 
@@ -223,7 +278,7 @@ def near_links(classes: DataFrame, documents: DataFrame, rule: Similarity) -> Da
     from. Every member is compared with its hubs, which is linear. Members of one
     bucket that are then in different groups are alike only if their differences
     from the hub overlap, so they are joined on the first shingles of those
-    differences (see ``_compared``) and verified. Every pair that shares a bucket
+    differences (see ``_compared`` and ``_possible``) and verified. Every pair that shares a bucket
     is in one group, verified, or proven not alike, whatever a bucket's size.
     """
     spread = classes.filter(F.col("rep").isNotNull()).select("rep", F.explode("bands").alias("band"))
@@ -243,17 +298,7 @@ def near_links(classes: DataFrame, documents: DataFrame, rule: Similarity) -> Da
 
     roots = stars.select("node", F.col("low").alias("root"))
     grouped = compared.rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    outside = grouped.filter(~F.col("alike")).select("node", "n", "apart", "root", F.col("low").alias("hub"), F.explode("marks").alias("mark"))
-    others = grouped.select(
-        F.col("node").alias("low"), F.col("n").alias("low_n"), F.col("apart").alias("low_apart"), F.col("root").alias("low_root"),
-        F.col("low").alias("hub"), (~F.col("alike")).alias("_odd"), F.explode(F.slice("marks", F.lit(1), F.col("n_marks"))).alias("mark"),
-    )
-    possible = (
-        (F.col("root") != F.col("low_root")) & (~F.col("_odd") | (F.col("node") > F.col("low")))
-        & (F.least("n", "low_n") * 100 >= F.greatest("n", "low_n") * rule.percent)
-        & (F.abs(F.col("apart") - F.col("low_apart")) * (100 + rule.percent) <= (F.col("n") + F.col("low_n")) * (100 - rule.percent))
-    )
-    pairs = _ordered(outside.join(others, ["hub", "mark"]).filter(possible)).distinct()
+    pairs = _possible(grouped, rule)
     result = components(stars.unionByName(_verified(pairs, sets.rows, rule)), "groups")
     for stage in (members, sets, compared):
         stage.remove()

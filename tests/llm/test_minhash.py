@@ -48,6 +48,29 @@ def test_against_all_pairs(spark):
         assert found == brute.near_groups(rows, words)
 
 
+def test_a_bucket_of_edited_copies_does_not_become_all_pairs(spark, monkeypatch):
+    chance = random.Random(8)
+    base = [f"b{at}" for at in range(200)]
+    rows = []
+    for doc_id in range(500):
+        text = list(base)
+        for _ in range(chance.randint(1, 11)):
+            text[chance.randrange(len(text))] = f"n{chance.randrange(10**6)}"
+        rows.append((doc_id, " ".join(text)))
+    joined = []
+    possible = minhash._possible
+
+    def counted(grouped, rule):
+        pairs = possible(grouped, rule)
+        joined.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(minhash, "_possible", counted)
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in grouped(spark, rows, 5)}
+    assert found == brute.near_groups(rows, 5)
+    assert len(joined) == 1 and joined[0] <= 10 * len(rows)
+
+
 def test_signatures_equal_the_definition_and_estimate_similarity():
     chance = np.random.default_rng(4)
     registers = 16
