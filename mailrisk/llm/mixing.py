@@ -55,14 +55,20 @@ class Classifier:
 class Mixture:
     """Target weights by domain. With ``anchor`` that domain's present tokens are
     its target and fix the others'; without, the targets share all tokens.
-    Rates stay at most ``most_rate`` (none: unbounded above)."""
+    Rates stay at most ``most_rate`` (none: unbounded above). Steps go on until a
+    plain one would move rates by less than ``tolerance`` (root mean square over
+    tokens)."""
 
     weights: dict[str, float] = field(default_factory=dict)
     anchor: str | None = None
     most_rate: float | None = None
     grid: int = 32
-    steps: int = 40
-    tolerance: float = 1e-4
+    tolerance: float = 1e-5
+
+    def __post_init__(self):
+        own = self.weights.values() if self.anchor is None else [self.weights.get(self.anchor, 0.0)]
+        if min(self.weights.values(), default=0.0) < 0 or not sum(own) > 0:
+            raise ValueError("weights are not negative, and their sum and that of the anchor are positive")
 
 
 def quality_domain(quality: Column, toxic: Column) -> Column:
@@ -71,28 +77,25 @@ def quality_domain(quality: Column, toxic: Column) -> Column:
     return F.when(known, F.when(toxic == 1, "toxic").when(quality == 0, "poor").otherwise("good"))
 
 
-def _shape(text: Column) -> Column:
-    """Marks for the share, in tenths, of signs, of ASCII capitals and of bars."""
-    size = F.greatest(F.length(text), F.lit(1))
-
-    def mark(name: str, characters: str) -> Column:
-        count = F.length(text) - F.length(F.regexp_replace(text, characters, ""))
-        return F.concat(F.lit(name), F.ceil(count * 10 / size).cast("string"))
-
-    # Upper case never occurs in folded words, so marks cannot equal one.
-    return F.array(mark("SIGNS", f"[{_SIGNS}]+"), mark("CAPITALS", "[A-Z]+"), mark("BARS", "[|]+"))
-
-
 def _tokens(documents: DataFrame) -> DataFrame:
-    """``doc_id, copy, n_tokens, tokens``: distinct words and shape marks, then
-    the mark that every document has."""
+    """``doc_id, copy, n_tokens, tokens``: distinct words; marks for the share, in
+    tenths, of signs, of ASCII capitals and of bars; and the mark that every
+    document has. The characters that count are cut out once."""
     text = F.coalesce("text", F.lit(""))
-    words = documents.select("doc_id", F.xxhash64("text").alias("copy"), text.alias("_text")).withColumn(
-        "_words", folded_words(F.col("_text"))
-    )
+    words = documents.select(
+        "doc_id", F.xxhash64("text").alias("copy"), F.greatest(F.length(text), F.lit(1)).alias("_size"),
+        folded_words(text).alias("_words"), F.regexp_replace(text, f"[^{_SIGNS}A-Z]+", "").alias("_counted"),
+    ).withColumn("_signs", F.regexp_replace("_counted", "[A-Z]+", ""))
+    signs = F.length("_signs")
+    counts = {
+        "SIGNS": signs, "CAPITALS": F.length("_counted") - signs,
+        "BARS": signs - F.length(F.replace(F.col("_signs"), F.lit("|"))),
+    }
+    # Upper case never occurs in folded words, so marks cannot equal one.
+    shape = (F.concat(F.lit(name), F.ceil(count * 10 / F.col("_size")).cast("string")) for name, count in counts.items())
     return words.select(
         "doc_id", "copy", F.size("_words").cast("long").alias("n_tokens"),
-        F.concat(F.array_distinct("_words"), _shape(F.col("_text")), F.array(F.lit("EVERY"))).alias("tokens"),
+        F.concat(F.array_distinct("_words"), F.array(*shape, F.lit("EVERY"))).alias("tokens"),
     )
 
 
@@ -163,7 +166,9 @@ def posteriors(documents: DataFrame, model: DataFrame, domains: list[str]) -> Da
     the model, which ``most_features`` bounds, where they are split; what is
     shuffled is one partial sum per document."""
     rows = _tokens(documents).select("doc_id", "copy", "n_tokens", F.explode("tokens").alias("token"))
-    met = rows.join(F.broadcast(model), "token")
+    # Most words are not in the model, which a join on numbers tells faster than one on texts.
+    numbers = model.select(F.xxhash64("token").alias("number"), F.col("token").alias("known"), "weights")
+    met = rows.withColumn("number", F.xxhash64("token")).join(F.broadcast(numbers), "number").filter("token = known")
     repeats = F.sum((F.col("token") == "EVERY").cast("long"))
     sums = [F.sum(F.get("weights", F.lit(at))) for at in range(len(domains))]
     scored = met.groupBy("doc_id", "copy").agg(
@@ -192,62 +197,89 @@ def _cells(scored: DataFrame, size: int, grid: int) -> Stage:
     )
 
 
-def _rate(history: list[list[float]], step: float, most: float | None) -> Column:
-    """Rate of a cell after the steps whose residuals by domain are given."""
-    def move(rate: Column, residual: Column) -> Column:
+def _rates(history: list[tuple[list[float], float]], state: Column, step: float, most: float | None) -> Column:
+    """``rate``, ``ahead`` (where the next gradient is taken) and ``moved`` of a cell
+    after further steps, given as residuals by domain and momentum."""
+    if not history:
+        return state
+    taken = F.array(*(
+        F.struct(F.array(*map(F.lit, residual)).alias("residual"), F.lit(momentum).alias("momentum"))
+        for residual, momentum in history
+    ))
+
+    def move(at: Column, by: Column) -> Column:
         pull = F.aggregate(
-            F.zip_with("mass", residual, lambda mass, rest: mass * rest), F.lit(0.0), lambda total, one: total + one
+            F.zip_with("mass", by["residual"], lambda mass, rest: mass * rest), F.lit(0.0), lambda total, one: total + one
+        )
+        moved = F.greatest(at["ahead"] - pull / F.col("n") * step, F.lit(0.0))
+        moved = moved if most is None else F.least(moved, F.lit(float(most)))
+        return F.struct(
+            moved.alias("rate"), (moved + by["momentum"] * (moved - at["rate"])).alias("ahead"), (moved - at["ahead"]).alias("moved")
         )
-        moved = F.greatest(rate - pull / F.col("n") * step, F.lit(0.0))
-        return moved if most is None else F.least(moved, F.lit(float(most)))
 
-    start = F.lit(1.0 if most is None else min(1.0, most))
-    if not history:
-        return start
-    return F.aggregate(F.array(*(F.array(*map(F.lit, residual)) for residual in history)), start, move)
+    return F.aggregate(taken, state, move)
+
+
+def _step_size(cells: DataFrame, masses: list[Column], scale: list[float]) -> float:
+    """Inverse of the largest curvature, from a matrix with one row per domain."""
+    places = range(len(masses))
+    products = [F.sum(masses[a] * masses[b] / F.col("n")).alias(f"h{a}_{b}") for a in places for b in places]
+    bends = np.array([value or 0.0 for value in cells.agg(*products).first()]).reshape(len(masses), -1)
+    curvature = float(np.linalg.eigvalsh(bends / np.sqrt(np.outer(scale, scale))).max(initial=0.0))
+    return 1 / curvature if curvature else 0.0
+
+
+# After this many steps the cells are written anew, so that no plan keeps growing.
+_STEPS_HELD = 25
 
 
 def fit_rates(scored: DataFrame, domains: list[str], mixture: Mixture) -> DataFrame:
-    """``cell, rate`` by projected gradient least squares.
+    """``cell, rate`` by projected gradient least squares, with momentum that
+    starts anew whenever the misses grow.
 
-    Gradients are taken per token; the step is the inverse of the largest
-    curvature, from a matrix with one row per domain. A step is one sum over the
-    cells; only one number per domain comes to the driver.
+    Gradients are taken per token. A step is one sum over the cells; only two
+    numbers per domain come to the driver.
     """
     cells = _cells(scored, len(domains), mixture.grid)
     places = range(len(domains))
     masses = [F.get("mass", F.lit(at)) for at in places]
-
-    def totals(rate: Column) -> list[float]:
-        weighted = cells.rows.withColumn("rate", rate)
-        row = weighted.agg(*(F.sum(mass * F.col("rate")).alias(f"s{at}") for at, mass in zip(places, masses))).first()
-        return [value or 0.0 for value in row]
-
-    present = totals(F.lit(1.0))
+    present = [value or 0.0 for value in cells.rows.agg(*map(F.sum, masses)).first()]
     scale = [max(tokens, 1.0) for tokens in present]
     weight = sum(mixture.weights.values())
     shares = [mixture.weights.get(name, 0.0) / weight for name in domains]
-    if mixture.anchor is None:
-        budget = sum(present)
-    else:
-        own = domains.index(mixture.anchor)
-        budget = present[own] / shares[own]
+    budget = sum(present) if mixture.anchor is None else present[domains.index(mixture.anchor)] / shares[domains.index(mixture.anchor)]
     aims = [share * budget for share in shares]
-    products = [F.sum(masses[a] * masses[b] / F.col("n")).alias(f"h{a}_{b}") for a in places for b in places]
-    bends = np.array([value or 0.0 for value in cells.rows.agg(*products).first()]).reshape(len(domains), -1)
-    curvature = float(np.linalg.eigvalsh(bends / np.sqrt(np.outer(scale, scale))).max())
-    step = 1 / curvature if curvature else 0.0
-    history: list[list[float]] = []
-    last = math.inf
-    for _ in range(mixture.steps if curvature else 0):
-        sums = totals(_rate(history, step, mixture.most_rate))
-        residual = [(total - aim) / tokens for total, aim, tokens in zip(sums, aims, scale)]
-        error = math.sqrt(sum(rest * rest * tokens for rest, tokens in zip(residual, scale)) / sum(scale))
-        if error < mixture.tolerance or last - error < mixture.tolerance * last:
+    step = _step_size(cells.rows, masses, scale)
+    first = 1.0 if mixture.most_rate is None else min(1.0, mixture.most_rate)
+    current = new_stage(
+        cells.rows.withColumn("state", F.struct(F.lit(first).alias("rate"), F.lit(first).alias("ahead"), F.lit(0.0).alias("moved"))),
+        "rates",
+    )
+    history: list[tuple[list[float], float]] = []
+    speed, last = 1.0, math.inf
+    while step:
+        state = _rates(history, F.col("state"), step, mixture.most_rate)
+        row = current.rows.withColumn("now", state).agg(
+            *(F.sum(mass * F.col("now.ahead")) for mass in masses), *(F.sum(mass * F.col("now.rate")) for mass in masses),
+            F.sum(F.col("n") * F.col("now.moved") * F.col("now.moved")) / F.sum("n"),
+        ).first()
+        ahead, reached, moved = row[: len(domains)], row[len(domains) : -1], math.sqrt(row[-1])
+        if (history or last < math.inf) and moved < mixture.tolerance:
             break
-        history.append(residual)
-        last = error
-    rates = write_stage(cells.rows.select("cell", _rate(history, step, mixture.most_rate).alias("rate")), "rates")
+        error = sum((total - aim) ** 2 / tokens for total, aim, tokens in zip(reached, aims, scale))
+        speed = 1.0 if error > last else speed
+        following = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
+        residual = [(total - aim) / tokens for total, aim, tokens in zip(ahead, aims, scale)]
+        history.append((residual, (speed - 1) / following))
+        speed, last = following, error
+        if len(history) == _STEPS_HELD:
+            state = _rates(history, F.col("state"), step, mixture.most_rate)
+            written = new_stage(current.rows.select("cell", "n", "mass", state.alias("state")), "rates")
+            current.remove()
+            current, history = written, []
+    state = _rates(history, F.col("state"), step, mixture.most_rate)
+    rates = write_stage(current.rows.select("cell", state["rate"].alias("rate")), "rates")
+    current.remove()
     cells.remove()
     return rates
 
@@ -271,16 +303,11 @@ def mix_documents(
 ) -> DataFrame:
     """The rows of ``documents`` drawn at their rates: ``floor(rate)`` times and
     once more with the rest as probability, decided by a hash of id and text."""
-    rated = rate_documents(documents, labels, mixture, classifier).select("doc_id", "copy", "rate")
-    rows = documents.withColumn("_copy", F.xxhash64("text"))
-    chance = F.pmod(F.xxhash64(F.lit("draw"), F.col("_own_id"), F.col("_copy")), F.lit(1 << 30)) / float(1 << 30)
-    rated = rated.select(F.col("doc_id").alias("_own_id"), F.col("copy").alias("_own_copy"), "rate")
-    drawn = rows.join(
-        rated.withColumnRenamed("rate", "_rate"),
-        F.col("doc_id").eqNullSafe(F.col("_own_id")) & (F.col("_copy") == F.col("_own_copy")),
-    )
-    times = F.floor("_rate") + (chance < F.col("_rate") - F.floor("_rate")).cast("int")
-    kept = drawn.withColumn("_times", times.cast("int")).filter(F.col("_times") > 0)
-    return kept.withColumn("_draw", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(
-        *(F.col(f"`{name}`") for name in documents.columns)
-    )
+    rated = rate_documents(documents, labels, mixture, classifier)
+    rated = rated.select(F.col("doc_id").alias("own_id"), F.col("copy").alias("own_copy"), "rate")
+    rows = documents.select(F.struct(*(F.col(f"`{name}`") for name in documents.columns)).alias("row"), F.xxhash64("text").alias("copy"))
+    chance = F.pmod(F.xxhash64(F.lit("draw"), F.col("own_id"), F.col("copy")), F.lit(1 << 30)) / float(1 << 30)
+    drawn = rows.join(rated, F.col("row.doc_id").eqNullSafe(F.col("own_id")) & (F.col("copy") == F.col("own_copy")))
+    times = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")
+    kept = drawn.withColumn("times", times.cast("int")).filter(F.col("times") > 0)
+    return kept.withColumn("draw", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from mailrisk.llm import mixing
 
@@ -41,7 +42,7 @@ def test_held_out_accuracy_and_targets(spark):
 
 def test_rates_reach_the_least_squares_of_a_plain_solver(spark):
     rows, labels = corpus(200)
-    mixture = mixing.Mixture({"bad": 0.0, "fine": 1.0}, anchor="fine", most_rate=1.0, steps=400, tolerance=1e-9)
+    mixture = mixing.Mixture({"bad": 0.0, "fine": 1.0}, anchor="fine", most_rate=1.0)
     result = rated(spark, rows, labels, mixture)
     masses = np.array([np.array(r.posterior) * r.n_tokens for r in result])
     present = masses.sum(axis=0)
@@ -57,19 +58,23 @@ def test_rates_reach_the_least_squares_of_a_plain_solver(spark):
         rate = np.clip(rate - pull * 0.5, 0, 1)
     own = loss(np.array([r.rate for r in result]))
     assert own <= loss(rate) + 0.002 * present.sum()
+    grid = [tuple(round(share * 32) for share in r.posterior) for r in result]
+    assert len({(cell, r.rate) for cell, r in zip(grid, result)}) == len(set(grid))
     truth = dict(labels)
     assert all(r.rate > 0.99 for r in result if truth[r.doc_id] == "fine" and r.posterior[1] > 0.9)
 
 
 def test_drawing_rows(spark):
     rows, labels = corpus(300)
-    documents = spark.createDataFrame([(*row, "x", 1.5) for row in rows], "doc_id long, text string, rate string, posterior double")
+    schema = "doc_id long, text string, rate string, posterior double, _copy string, copy int, _rate int, row int, times int, draw int, own_id int"
+    documents = spark.createDataFrame([(*row, "x", 1.5, "c", 1, 2, 3, 4, 5, 6) for row in rows], schema)
     marks = spark.createDataFrame(labels, "doc_id long, domain string")
     mixture = mixing.Mixture({"bad": 0.0, "fine": 1.0}, anchor="fine", most_rate=1.0)
     kept = mixing.mix_documents(documents, marks, mixture)
     ids = [r.doc_id for r in kept.collect()]
     truth = dict(labels)
     assert kept.columns == documents.columns and len(ids) == len(set(ids))
+    assert {r[2:] for r in kept.collect()} == {("x", 1.5, "c", 1, 2, 3, 4, 5, 6)}
     fine = {doc_id for doc_id, domain in labels if domain == "fine"}
     assert len(fine & set(ids)) >= 0.98 * len(fine)
     assert sum(truth[i] == "bad" for i in ids) <= 0.1 * (len(labels) - len(fine))
@@ -90,3 +95,9 @@ def test_special_rows(spark):
     assert empty == []
     unlabelled = rated(spark, rows, [], mixing.Mixture({"bad": 0.5, "fine": 0.5}))
     assert {tuple(r.posterior) for r in unlabelled} == {(0.5, 0.5)}
+
+
+def test_weights_without_a_sum_are_refused():
+    for weights, anchor in (({"a": 0.0}, None), ({}, None), ({"a": 1.0, "b": 0.0}, "b"), ({"a": 1.0}, "c"), ({"a": 2.0, "b": -1.0}, None)):
+        with pytest.raises(ValueError):
+            mixing.Mixture(weights, anchor=anchor)
