@@ -25,11 +25,10 @@ normal AS (
     trim(regexp_replace(lower(regexp_replace(raw, '[\x20\x09-\x0D]', ' ', 'g')), ' {2,}', ' ', 'g'), ' ') AS line
   FROM (SELECT doc_id, host, unnest(string_split(t, chr(10))) AS raw FROM docs)),
 texts AS (SELECT host, t, min(doc_id) AS doc_id FROM docs GROUP BY ALL),
-sizes AS (SELECT host, count(*) AS n FROM texts GROUP BY host),
 over_limit AS (
   SELECT host, line FROM (
     SELECT DISTINCT normal.doc_id, normal.host, line FROM normal SEMI JOIN texts USING (doc_id) WHERE line <> '') held
-  JOIN sizes USING (host) GROUP BY host, line, n HAVING count(*) > 10 AND count(*) > n * 0.05),
+  GROUP BY host, line HAVING count(*) > 10),
 removed AS (
   SELECT doc_id, count(*) AS lines, sum(len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+'))) AS words
   FROM normal SEMI JOIN over_limit USING (host, line) GROUP BY doc_id),
@@ -47,8 +46,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM base
 """
 
-ORACLES["op1_common_lines"] = ORACLES["op1_quality_lines"].replace(" AND count(*) > n * 0.05", "")
-
 
 def _spans_of(kind: str, pattern: str, accepted: str) -> str:
     """Spans by summing the lengths of matches and of the text between them."""

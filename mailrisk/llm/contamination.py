@@ -76,19 +76,27 @@ def _found(documents: DataFrame, keys: DataFrame, sizes: list[int], rule: Overla
     """Where documents hold a shingle of an item, with the words around it.
 
     One scan; positions, hashing and the join run in one generated loop and only
-    matches leave it.
+    matches leave it. With more shingles than may be broadcast, places and hashes
+    alone are shuffled; the words of documents with matches follow by document.
     """
     rows = documents.select("doc_id", F.xxhash64("text").alias("copy"), folded_words(F.col("text")).alias("words"))
-    keys = F.broadcast(keys) if keys.count() <= rule.most_broadcast else keys
+    sent = keys.count() <= rule.most_broadcast
     parts = []
     for size in sizes:
         at, back = F.col("at"), rule.window - size
         keyed = rows.select("doc_id", "copy", "words", F.posexplode("words").alias("at", "_word")).filter(
             at + size <= F.size("words")
         ).withColumn("key", _shingle(F.col("words"), at, size))
+        if sent:
+            matched = keyed.join(F.broadcast(keys), "key")
+        else:
+            places = keyed.select(F.col("doc_id").alias("own_id"), F.col("copy").alias("own_copy"), "at", "key").join(keys, "key")
+            held = places.groupBy("own_id", "own_copy").agg(F.collect_set(F.struct("at", "key")).alias("places"))
+            mine = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("copy") == F.col("own_copy"))
+            matched = rows.join(held, mine).select("doc_id", "copy", "words", F.inline("places"))
         begin = F.greatest(at - back, F.lit(0))
         parts.append(
-            keyed.join(keys, "key").select(
+            matched.select(
                 "doc_id", "copy", "key", "at", begin.alias("begin"),
                 F.slice("words", begin + 1, at - begin + rule.window).alias("around"),
             )
@@ -155,8 +163,6 @@ def judge_documents(documents: DataFrame, benchmark: DataFrame, rule: Overlap =
 def clean_documents(documents: DataFrame, benchmark: DataFrame, rule: Overlap = Overlap()) -> DataFrame:
     """The rows of ``documents`` without an occurrence of any item window. The
     found documents are few and known by id and text hash."""
-    found = occurrences(documents, benchmark, rule).select(
-        F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")
-    ).distinct()
-    hit = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_copy"))
+    found = occurrences(documents, benchmark, rule).select("doc_id", "copy").distinct()
+    hit = documents["doc_id"].eqNullSafe(found["doc_id"]) & (F.xxhash64(documents["text"]) == found["copy"])
     return documents.join(found, hit, "left_anti")

@@ -31,12 +31,12 @@ class LineRules:
     """Limits. A line goes when more than ``max_documents`` distinct texts and
     more than ``max_share`` of the host's distinct texts hold it; a document
     goes when removed lines held more than ``max_removed`` of its words. A share
-    grows with the host; 0 leaves the count of texts alone."""
+    grows with the host, so by default the count of texts alone decides."""
 
     min_words: int = 20
     max_repeat_percent: int = 30
     max_documents: int = 10
-    max_share: float = 0.05
+    max_share: float = 0.0
     max_removed: float = 0.7
 
 
@@ -128,7 +128,8 @@ def _repeated(rows: DataFrame) -> DataFrame:
 
 
 def with_signals(documents: DataFrame, over: DataFrame, rules: LineRules = LineRules(), host: str = "source") -> DataFrame:
-    """All columns of ``documents`` and a struct ``quality``.
+    """All columns of ``documents`` and a struct ``quality``, which replaces a
+    column of that name.
 
     Fields: ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, n_removed_lines, n_removed_words, left`` (the text without the
@@ -138,7 +139,7 @@ def with_signals(documents: DataFrame, over: DataFrame, rules: LineRules = LineR
     sorting. Adaptive execution splits a hot key of either.
     """
     rows = documents.select(
-        F.struct(*(F.col(f"`{name}`") for name in documents.columns)).alias("_row"),
+        F.struct(*(F.col(f"`{name}`") for name in documents.columns if name != "quality")).alias("_row"),
         F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"),
         F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_copy"),
     )
@@ -192,10 +193,12 @@ def judge_documents(documents: DataFrame, rules: LineRules = LineRules(), host:
 def filter_documents(documents: DataFrame, rules: LineRules = LineRules(), host: str = "source") -> DataFrame:
     """The documents that pass, without the removed lines. A column ``n_chars``
     follows the shortened text; a null text never passes."""
-    judged = judge_documents(documents, rules, host)
-    changed = {"text": F.col("quality.left"), "_kept": F.col("quality.kept")}
-    if "n_chars" in documents.columns:
-        changed["n_chars"] = F.length("quality.left").cast(documents.schema["n_chars"].dataType)
+    given = F.struct(*(F.col(f"`{name}`") for name in documents.columns)).alias("given")
+    judged = judge_documents(documents.select(given, "text", F.col(host).alias("host")), rules, "host")
     # Written before filtering: a pushed-down filter would repeat all measures per word.
-    done = write_stage(judged.withColumns(changed).drop("quality"), "judged")
-    return done.filter("_kept").drop("_kept")
+    done = write_stage(judged.select("given", "quality.kept", "quality.left"), "judged")
+    changed = {"text": F.col("left")}
+    if "n_chars" in documents.columns:
+        changed["n_chars"] = F.length("left").cast(documents.schema["n_chars"].dataType)
+    columns = (changed.get(name, F.col(f"given.`{name}`")).alias(name) for name in documents.columns)
+    return done.filter("kept").select(*columns)

@@ -41,12 +41,6 @@ def op1_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged_lines(spark, sf_dir, quality.LineRules())
 
 
-@query
-def op1_common_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rules of the pipeline: lines go by their number of texts alone."""
-    return judged_lines(spark, sf_dir, corpus_pipeline.LINES)
-
-
 @query
 def op3_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = secrets.scan_documents(table(spark, sf_dir, "documents"))

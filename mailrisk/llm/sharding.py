@@ -200,13 +200,16 @@ def shard_documents(
     """All columns of ``documents`` with ``size``, ``shard`` and ``slot``; either
     ``shards`` of equal bytes or as many as ``target_bytes`` calls for. Columns
     that already bear such a name are replaced."""
-    keyed = with_keys(documents, metadata(documents), balance)
-    internal = [name for name in keyed.columns if name not in documents.columns]
+    given = F.struct(*(F.col(f"`{name}`") for name in documents.columns)).alias("given")
+    packed = documents.select(given, *(name for name in ("doc_id", "text", "lang", "n_chars") if name in documents.columns))
+    keyed = with_keys(packed, metadata(packed), balance)
+    internal = [name for name in keyed.columns if name not in packed.columns]
     points = new_stage(keyed.select(*internal), "points")
     rows, total = _counted(points.rows)
     shards = shards or max(1, -(-total // target_bytes))
     tree = fit_tree(points.rows, shards, balance)
     points.remove()
-    placed = keyed.withColumn("shard", tree.shard().cast("int")).withColumn("size", F.col("_size"))
+    placed = keyed.withColumn("shard", tree.shard().cast("int"))
     numbered = with_slots(placed, rows, shards, ["doc_id", "_size", f"{internal[1]}"], balance)
-    return numbered.drop(*internal)
+    kept = (F.col(f"given.`{name}`") for name in documents.columns if name not in ("size", "shard", "slot"))
+    return numbered.select(*kept, F.col("_size").alias("size"), "shard", "slot")

@@ -186,7 +186,7 @@ def _pieces(text: str) -> Iterator[str]:
 
 def count_tokens(documents: DataFrame, tokenizer_file: str, text: str = "text", limit: int = 2048) -> DataFrame:
     """``documents`` without ``text``, plus a struct ``tokens`` of ``n_bytes``,
-    ``n_tokens`` and ``over_limit``.
+    ``n_tokens`` and ``over_limit``, which replaces a column of that name.
 
     The definition (one file of a few MB) is read, and its whole tokens proven,
     where the job is planned; both travel with the tasks and are bounded by the
@@ -195,11 +195,11 @@ def count_tokens(documents: DataFrame, tokenizer_file: str, text: str = "text",
     with open(tokenizer_file, encoding="utf-8") as file:
         definition = file.read()
     whole = whole_tokens(definition)
-    rows = documents.withColumn("_text", F.coalesce(F.col(text).cast("string"), F.lit(""))).drop(text)
-    rest = [name for name in rows.columns if name != "_text"]
-    packed = rows.select(
+    rest = [name for name in documents.columns if name not in (text, "tokens")]
+    given = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    packed = documents.select(
         F.struct(*(F.col(f"`{name}`") for name in rest)).alias("_row") if rest else F.lit(None).alias("_row"),
-        F.octet_length("_text").cast("long").alias("n_bytes"), "_text",
+        F.octet_length(given).cast("long").alias("n_bytes"), given.alias("_text"),
     )
     schema = packed.drop("_text").schema.add("n_tokens", "long")
 

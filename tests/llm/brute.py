@@ -28,7 +28,7 @@ def repeated_words(words: list[str], size: int = 8) -> int:
     return len(places)
 
 
-def quality(rows, max_documents=10, max_share=0.05, max_removed=0.7):
+def quality(rows, max_documents=10, max_share=0.0, max_removed=0.7):
     """``rows`` of (doc_id, text, host) -> {doc_id: measures}."""
     def lines(text):
         return [re.sub(" {2,}", " ", re.sub(r"[\x20\x09-\x0D]", " ", line).lower()).strip(" ") for line in text.split("\n")]
