@@ -71,7 +71,7 @@ def test_common_line_of_a_large_host_goes(spark):
     assert sum(measures[7] for measures in expected.values()) == 20 + 9
     assert set(kept) == {doc_id for doc_id, measures in expected.items() if measures[6]} == set(range(502)) - {500}
     assert {doc_id for doc_id, text in kept.items() if "letter" in text} == {501}
-    same = quality.judge_documents(documents, corpus_pipeline.LINES).select("doc_id", *(F.col(f"quality.{n}") for n in NAMES))
+    same = quality.judge_documents(documents).select("doc_id", *(F.col(f"quality.{n}") for n in NAMES))
     assert {row[0]: tuple(row[1:]) for row in same.collect()} == expected
     shared = quality.judge_documents(documents, quality.LineRules(max_share=0.05))
     assert shared.filter("quality.n_removed_lines > 0").count() == 0  # 4.2 % of the host
