@@ -33,6 +33,8 @@ from mailrisk.session import Stage, new_stage, ship_with_tasks, write_stage
 ship_with_tasks(__name__)
 
 _GOLDEN = 0x9E3779B97F4A7C15
+# Members above which the differences from a hub are ordered by how many have them.
+_WIDE = 64
 
 
 @dataclass(frozen=True)
@@ -171,7 +173,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
 
 def _compared(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> Stage:
     """Members (``node``) against their hub (``low``): ``n`` shingles, ``alike``, and
-    as ``marks`` the ``apart`` shingles of the symmetric difference.
+    as ``marks`` the ``apart`` shingles of the symmetric difference; of hubs
+    that are not ``wide`` only those that can matter, in the order of their hashes.
 
     Two members x and y that are alike have a difference of at most
     ``s = (1 - t) / (1 + t) * (|x| + |y|)`` shingles, so their differences from
@@ -189,7 +192,7 @@ def _compared(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> Stage:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: list[list] = [[], [], [], [], [], []]
-            for a, b in zip(batch.column("mine"), batch.column("theirs")):
+            for a, b, wide in zip(batch.column("mine"), batch.column("theirs"), batch.column("wide").to_pylist()):
                 own, hub = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
                 added, dropped = np.setdiff1d(own, hub, True), np.setdiff1d(hub, own, True)
                 apart = len(added) + len(dropped)
@@ -201,37 +204,44 @@ def _compared(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> Stage:
                 smaller = max(1, math.ceil(apart - most / 2 - 0.001), odd)
                 n_probe, n_index = max(apart - larger + 1, 1), max(apart - smaller + 1, 1)
                 marks = np.concatenate([added, dropped])
+                if not wide:
+                    marks = marks[: max(n_probe, n_index)]
                 for column, value in zip(columns, (len(own), alike, apart, n_probe, n_index, marks.view(np.int64))):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("node"), batch.column("low"), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.bool_()),
-                    pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int32()), pa.array(columns[4], pa.int32()),
-                    pa.array(columns[5], pa.list_(pa.int64())),
+                    batch.column("node"), batch.column("low"), batch.column("wide"), pa.array(columns[0], pa.int64()),
+                    pa.array(columns[1], pa.bool_()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.int32()),
+                    pa.array(columns[4], pa.int32()), pa.array(columns[5], pa.list_(pa.int64())),
                 ],
-                names=["node", "low", "n", "alike", "apart", "n_probe", "n_index", "marks"],
+                names=["node", "low", "wide", "n", "alike", "apart", "n_probe", "n_index", "marks"],
             )
 
-    schema = "node long, low long, n long, alike boolean, apart long, n_probe int, n_index int, marks array<long>"
+    schema = "node long, low long, wide boolean, n long, alike boolean, apart long, n_probe int, n_index int, marks array<long>"
     return new_stage(_with_sets(pairs, sets).mapInArrow(compare, schema), "compared")
 
 
 def _placed(grouped: DataFrame) -> DataFrame:
-    """``grouped`` members with one row per ``mark`` that others of the hub have, too,
-    and its place ``at`` in the order from rare to common marks, where marks of
-    one member come first. Hubs that all members are alike, or with one member,
-    have no rows."""
+    """``grouped`` members with one row per ``mark`` and its place ``at`` in an order
+    that the members of a hub have in common. Of wide hubs these are the marks
+    that others have, too, from rare to common, behind those of one member;
+    otherwise the first marks by hash. Hubs that all members are alike, or with
+    one member, have no rows."""
     hubs = grouped.groupBy("low").agg(F.count(F.lit(1)).alias("n"), F.bool_or(~F.col("alike")).alias("odd")).filter("n > 1 AND odd")
-    marks = grouped.join(hubs.select("low"), "low", "left_semi").select("node", F.col("low").alias("hub"), F.explode("marks").alias("mark"))
+    met = grouped.join(hubs.select("low"), "low", "left_semi").withColumnRenamed("low", "hub")
+    names = [name for name in met.columns if name not in ("marks", "wide")]
+    narrow = met.filter(~F.col("wide")).select(*names, F.posexplode("marks").alias("at", "mark"))
+    marks = met.filter("wide").select("node", "hub", F.explode("marks").alias("mark"))
     common = marks.groupBy("hub", "mark").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
     shared = marks.join(common, ["hub", "mark"]).groupBy("node", "hub").agg(
         F.array_sort(F.collect_list(F.struct("held", "mark"))).alias("shared")
     )
-    members = grouped.drop("marks").withColumnRenamed("low", "hub").join(shared, ["node", "hub"])
+    members = met.filter("wide").select(*names).join(shared, ["node", "hub"])
     alone = F.col("apart") - F.size("shared")
-    return members.select("*", F.posexplode("shared").alias("at", "one")).select(
-        *members.drop("shared").columns, F.col("one.mark").alias("mark"), (F.col("at") + alone).alias("at")
+    wide = members.select("*", F.posexplode("shared").alias("at", "one")).select(
+        *names, (F.col("at") + alone).alias("at"), F.col("one.mark").alias("mark")
     )
+    return narrow.unionByName(wide)
 
 
 def _possible(grouped: DataFrame, rule: Similarity) -> DataFrame:
@@ -293,7 +303,9 @@ def near_links(classes: DataFrame, documents: DataFrame, rule: Similarity) -> Da
         .select("band", (-F.col("hub.id")).alias("low"))
     )
     spokes = members.rows.join(hubs, "band").filter(F.col("rep") != F.col("low"))
-    compared = _compared(spokes.select(F.col("rep").alias("node"), "low").distinct(), sets.rows, rule)
+    pairs = spokes.select(F.col("rep").alias("node"), "low").distinct()
+    sizes = pairs.groupBy("low").agg((F.count(F.lit(1)) > _WIDE).alias("wide"))
+    compared = _compared(pairs.join(sizes, "low"), sets.rows, rule)
     stars = components(_ordered(compared.rows.filter("alike")), "stars")
 
     roots = stars.select("node", F.col("low").alias("root"))

@@ -193,8 +193,8 @@ def judge_documents(documents: DataFrame, rules: LineRules = LineRules(), host:
 def filter_documents(documents: DataFrame, rules: LineRules = LineRules(), host: str = "source") -> DataFrame:
     """The documents that pass, without the removed lines. A column ``n_chars``
     follows the shortened text; a null text never passes."""
-    given = F.struct(*(F.col(f"`{name}`") for name in documents.columns)).alias("given")
-    judged = judge_documents(documents.select(given, "text", F.col(host).alias("host")), rules, "host")
+    given = F.struct(F.lit(None).cast("string").alias("_"), *(F.col(f"`{name}`") for name in documents.columns if name not in ("text", "n_chars")))
+    judged = judge_documents(documents.select(given.alias("given"), "text", F.col(host).alias("host")), rules, "host")
     # Written before filtering: a pushed-down filter would repeat all measures per word.
     done = write_stage(judged.select("given", "quality.kept", "quality.left"), "judged")
     changed = {"text": F.col("left")}
