@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import math
 import random
 from collections import Counter
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mailrisk.operators import descent, evaluate, explain, learners, linear, similarity, split, svd, terms
+from mailrisk.operators import certificates, descent, evaluate, explain, learners, linear, similarity, split, svd, terms
 from mailrisk.operators.bayes import fit_naive_bayes
 from mailrisk.plans import training
 from mailrisk.sources import sinks
@@ -198,7 +199,7 @@ def test_shipped_svd_settings_are_accurate(spark):
 
 def test_svd_matches_numpy(prepared):
     x, *_ = dense(prepared)
-    model = svd.fit_svd(prepared.train, prepared.terms.size, components=10, passes=12)
+    model = svd.fit_svd(prepared.train, prepared.terms.size, components=10, tolerance=1e-3)
     exact = np.linalg.svd(x, compute_uv=False)[:10]
     assert np.allclose(model.singular_values, exact, rtol=1e-3)
     assert np.allclose(model.components.T @ model.components, np.eye(10), atol=1e-9)
@@ -254,3 +255,29 @@ def test_holdout_notes(spark):
     assert got["to_d"].roc_auc is not None and got["to_d"].note == "two-class external test set"
     assert (got["none"].status, got["none"].note) == ("skipped", "empty train or test split")
     assert got["few"].status == "skipped" and got["few"].accuracy is None and got["few"].true_positive == 0
+
+
+def test_duality_gap_tells_how_far_a_model_is(prepared):
+    train, counts = prepared.train, prepared.counts
+    cases = (
+        (learners.fit_logistic(train, prepared.terms, counts), learners.TEXT_C, "logistic", False),
+        (training.fit_final_model(prepared), learners.METADATA_C, "logistic", False),
+        (learners.fit_linear_svm(train, prepared.terms, counts), learners.TEXT_C, "squared_hinge", True),
+    )
+    for model, c, loss, penalized in cases:
+        row = certificates.duality_gap(model, train, counts, c, loss, penalized).first()
+        assert row.train_rows == sum(counts.values()) and -1e-9 <= row.relative_gap < 1e-3
+        spoiled = dataclasses.replace(model, coefficients=[1.3 * value + 0.05 for value in model.coefficients])
+        off = certificates.duality_gap(spoiled, train, counts, c, loss, penalized).first()
+        assert off.primal > row.primal and off.dual <= row.primal + 1e-9 and off.relative_gap > 10 * row.relative_gap
+
+
+def test_curves_do_not_depend_on_the_ranges(spark, monkeypatch):
+    rows = [(f"m{at % 2}", at, at % 3 % 2, int(at % 7 > 3), (at * 37 % 50) / 50 if at % 11 else None) for at in range(300)]
+    predictions = spark.createDataFrame(rows, "model string, row_key long, label int, predicted_label int, score double")
+    whole = sorted(map(tuple, evaluate.cumulative_counts(predictions).collect()))
+    monkeypatch.setattr(evaluate, "_RANGE_ROWS", 7)
+    assert sorted(map(tuple, evaluate.cumulative_counts(predictions).collect())) == whole
+    for model, score, _, _, tp, fp in whole:
+        above = [r for r in rows if r[0] == model and r[4] is not None and r[4] >= score]
+        assert (tp, fp) == (sum(r[2] for r in above), sum(1 - r[2] for r in above))

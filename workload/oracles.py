@@ -440,6 +440,12 @@ SELECT model, (SELECT count(*) FROM split WHERE NOT is_test) AS train_rows, (SEL
   CAST(0 AS DOUBLE) AS relative_gap, true AS bounded
 FROM (VALUES ('logistic_regression'), ('linear_svm'), ('logistic_regression_text_metadata')) models(model)"""
 
+ORACLES["q_svd_certificate"] = with_parts("split", "weights") + """
+SELECT (SELECT count(*) FROM split WHERE NOT is_test) AS train_rows,
+  CAST(least(100, (SELECT count(*) FROM vocabulary)) AS BIGINT) AS components,
+  round((SELECT sum(weight * weight) FROM weights WHERE NOT is_test), 6) AS energy,
+  true AS residuals_within, true AS orthogonal, true AS energy_kept"""
+
 # Pasted mails scored with the closed-form model.
 sql.PARTS["pasted_features"] = (
     sql.feature_columns("parsed", sql.MAIL_PART_COLUMNS, "conv_id, turn, mail"), ("parsed",),

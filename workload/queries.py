@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -578,6 +579,27 @@ def q_svd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.transform(prepared.test.select("row_key", "indices", "weights")).select("row_key", "components")
 
 
+@query
+def q_svd_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and energy of the matrix, and whether the pairs hold what they claim: residuals
+    within the limit, vectors at right angles, projections with the energy of the values."""
+    prepared = trained(spark, sf_dir)
+    model = svd.fit_svd(prepared.train, prepared.terms.size)
+    values = model.singular_values**2
+    small = bool((model.residuals <= svd._TOLERANCE * values).all())
+    angles = model.components.T @ model.components
+    projected = model.transform(prepared.train.select("row_key", "indices", "weights"))
+    square = F.aggregate("components", F.lit(0.0), lambda total, one: total + one * one)
+    entries = F.aggregate("weights", F.lit(0.0), lambda total, one: total + one * one)
+    row = projected.agg(F.sum(square).alias("held"), F.sum(entries).alias("energy"), F.count(F.lit(1)).alias("n")).first()
+    kept = abs(row["held"] - values.sum()) <= 1e-6 * row["energy"] and row["held"] <= row["energy"]
+    right = bool(abs(angles - np.eye(len(values))).max() < 1e-8)
+    return spark.createDataFrame(
+        [(row["n"], len(values), round(row["energy"], 6), small, right, bool(kept))],
+        "train_rows long, components long, energy double, residuals_within boolean, orthogonal boolean, energy_kept boolean",
+    )
+
+
 @query
 def q_random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = trained(spark, sf_dir)
