@@ -113,7 +113,7 @@ FROM conversations
 
 #: Session setting: spread the rows of a table before use. A file with a single row
 #: group is read by one task; whoever has such files and many cores asks for it.
-SPREAD = "mailrisk.workload.spread"
+SPREAD = "spark.mailrisk.spread"
 SPREAD_KEYS = {
     "documents": ("doc_id",),
     "pages": ("page_id",),
