@@ -7,6 +7,12 @@ is a dozen times smaller than one of windows, and an anchor's count is never
 below that of any of its windows. The partitions' sketches are summed cell by
 cell; only windows whose anchor is estimated to be repeated are grouped exactly.
 
+Neighbouring windows with one anchor travel as one run, a row with a digest of
+all its words. Equal runs are grouped first: in all documents but the one with
+the smallest id every window of the run is repeated. What is left is one
+document per distinct run, and a window of it can only be in an unequal run of
+the same anchor; the windows of just these runs are then grouped one by one.
+
 Defined results. Words are parted by white space and compared unchanged; null
 texts have none. A document without an id loses nothing and takes nothing from
 others. Rows repeated under one id do not count as repetitions. Texts shorter
@@ -36,12 +42,13 @@ _BLOCK_BITS = 16
 
 @dataclass(frozen=True)
 class Repeats:
-    """Window length and sketch size. A row of the sketch has the next power of
+    """Window length, windows in a run at most, and sketch size. A row of the sketch has the next power of
     two above ``cells_per_anchor`` times the anchors to be expected, at most
     ``2 ** most_bits`` cells; what is sent to the tasks is one bit per cell. A
     full sketch lets more windows through to the exact grouping, never fewer."""
 
     words: int = 50
+    run: int = 64
     rows: int = 3
     cells_per_anchor: int = 8
     most_bits: int = 29
@@ -54,12 +61,17 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.cumprod(factors)
 
 
-def run_hashes(hashes: np.ndarray, size: int, base: int) -> np.ndarray:
-    """Hash of the ``size`` values from each position on, from prefix sums modulo
-    2^64: dividing by an odd base is multiplying by its inverse."""
-    inverse = pow(base, -1, 1 << 64)
+def span_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """Hash of the values from each start to before its end, from prefix sums
+    modulo 2^64: dividing by an odd base is multiplying by its inverse."""
     prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(base, len(hashes)))])
-    return mix((prefix[size:] - prefix[:-size]) * _powers(inverse, len(prefix) - size))
+    return mix((prefix[ends] - prefix[starts]) * _powers(pow(base, -1, 1 << 64), len(prefix))[starts])
+
+
+def run_hashes(hashes: np.ndarray, size: int, base: int) -> np.ndarray:
+    """Hash of the ``size`` values from each position on."""
+    starts = np.arange(len(hashes) - size + 1)
+    return span_hashes(hashes, starts, starts + size, base)
 
 
 def sliding_minimum(values: np.ndarray, size: int) -> np.ndarray:
@@ -92,22 +104,37 @@ def _documents(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
         place += len(words)
 
 
-def _bits(documents: DataFrame, rule: Repeats) -> int:
-    """Cells per sketch row as a power of two, from the bytes of all texts: a
-    word takes six, and about one in 13 positions begins an anchor."""
-    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    expected = max(1, int(size) // (6 * (rule.words // 4 + 1)))
-    return min(rule.most_bits, max(_BLOCK_BITS, (expected * rule.cells_per_anchor - 1).bit_length()))
+def _filled(cells: DataFrame, rows: int, bits: int, name: str) -> list[np.ndarray]:
+    """The distinct ``cell`` numbers of ``rows`` sketch rows as one bit array per
+    row. Bits come to the driver as blocks of a number and size that ``bits`` fixes."""
+    block = F.shiftright("cell", _BLOCK_BITS)
+    places = F.sort_array(F.collect_list(F.col("cell").bitwiseAND((1 << _BLOCK_BITS) - 1).cast("int")))
+    blocks = new_stage(cells.groupBy(block.alias("block")).agg(places.alias("places")), name)
+    filled = [np.zeros(1 << max(0, bits - 3), np.uint8) for _ in range(rows)]
+    for part in blocks.rows.toLocalIterator():
+        row, at = part["block"] >> (bits - _BLOCK_BITS), part["block"] & ((1 << (bits - _BLOCK_BITS)) - 1)
+        own = np.zeros(1 << _BLOCK_BITS, np.uint8)
+        own[part["places"]] = 1
+        size = 1 << (_BLOCK_BITS - 3)
+        filled[row][at * size : (at + 1) * size] = np.packbits(own, bitorder="little")
+    blocks.remove()
+    return filled
+
+
+def _room(values: int, rule: Repeats) -> int:
+    """Cells per row for so many values, as a power of two."""
+    return min(rule.most_bits, max(_BLOCK_BITS, (values * rule.cells_per_anchor - 1).bit_length()))
 
 
 def sketch(documents: DataFrame, rule: Repeats) -> tuple[int, list[np.ndarray]]:
     """Cells counted twice or more, as one bit array per row.
 
     A task counts the distinct anchors of each of its documents in sparse
-    arrays; Spark sums them by cell with map-side combining. The bits come to
-    the driver as blocks; their number and size are fixed by ``most_bits``.
+    arrays; Spark sums them by cell with map-side combining. A word takes six
+    bytes, and about one in 13 positions begins an anchor.
     """
-    bits = _bits(documents, rule)
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = _room(max(1, int(size) // (6 * (rule.words // 4 + 1))), rule)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in chunks(batches, "text"):
@@ -121,18 +148,7 @@ def sketch(documents: DataFrame, rule: Repeats) -> tuple[int, list[np.ndarray]]:
     repeated = (
         rows.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).filter(F.col("n") > 1)
     )
-    block = F.shiftright("cell", _BLOCK_BITS)
-    places = F.sort_array(F.collect_list(F.col("cell").bitwiseAND((1 << _BLOCK_BITS) - 1).cast("int")))
-    blocks = new_stage(repeated.groupBy(block.alias("block")).agg(places.alias("places")), "sketch")
-    filled = [np.zeros(1 << max(0, bits - 3), np.uint8) for _ in range(rule.rows)]
-    for part in blocks.rows.toLocalIterator():
-        row, at = part["block"] >> (bits - _BLOCK_BITS), part["block"] & ((1 << (bits - _BLOCK_BITS)) - 1)
-        own = np.zeros(1 << _BLOCK_BITS, np.uint8)
-        own[part["places"]] = 1
-        size = 1 << (_BLOCK_BITS - 3)
-        filled[row][at * size : (at + 1) * size] = np.packbits(own, bitorder="little")
-    blocks.remove()
-    return bits, filled
+    return bits, _filled(repeated, rule.rows, bits, "sketch")
 
 
 def _passes(values: np.ndarray, bits: int, filled: list[np.ndarray]) -> np.ndarray:
@@ -147,55 +163,116 @@ def _digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
+def _runs(values: np.ndarray, rule: Repeats) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the runs of windows with equal anchors, in pieces of
+    ``rule.run`` at most."""
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.empty(0, np.int64)
+    sizes = np.diff(np.append(starts, len(values)))
+    pieces = -(-sizes // rule.run)
+    inside = (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * rule.run
+    return np.repeat(starts, pieces) + inside, np.minimum(np.repeat(sizes, pieces) - inside, rule.run)
+
+
+def _digests(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for the words of each span, as two signed numbers."""
+    first, second = span_hashes(hashes, starts, ends, _BASES[0]), span_hashes(mix(hashes), starts, ends, _BASES[1])
+    return (first + (ends - starts).astype(np.uint64)).view(np.int64), second.view(np.int64)
+
+
 def _screened(documents: DataFrame, rule: Repeats) -> DataFrame:
     """``doc_id, n_words, kept_sha256`` of the whole text, and for documents with
-    windows that pass the sketch the text and those windows' places and hashes."""
+    runs that pass the sketch the text and ``starts, sizes, anchors, first, second`` of these runs."""
     spark = documents.sparkSession
-    bits, filled = sketch(documents, rule)
-    sent = spark.sparkContext.broadcast((bits, filled))
+    sent = spark.sparkContext.broadcast(sketch(documents, rule))
 
     def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, filled = sent.value
         for rows, texts in chunks(batches, "text"):
-            columns: list[list] = [[], [], [], [], [], []]
+            columns: list[list] = [[] for _ in range(8)]
             for text, (words, hashes) in zip(texts, _documents(texts)):
-                places = np.flatnonzero(_passes(anchors(hashes, rule.words), bits, filled))
-                some = len(places) > 0
-                first = run_hashes(hashes, rule.words, _BASES[0])[places] if some else places
-                second = run_hashes(mix(hashes), rule.words, _BASES[1])[places] >> np.uint64(32) if some else places
-                values = (
-                    len(words), _digest(words), text if some else None, places.astype(np.int32) if some else None,
-                    first.view(np.int64) if some else None, second.astype(np.uint32).view(np.int32) if some else None,
-                )
+                found = anchors(hashes, rule.words)
+                starts, sizes = _runs(found, rule)
+                passed = _passes(found[starts], bits, filled)
+                starts, sizes = starts[passed], sizes[passed]
+                values = [len(words), _digest(words), *[None] * 6]
+                if len(starts):
+                    first, second = _digests(hashes, starts, starts + sizes + rule.words - 1)
+                    values[2:] = (
+                        text, starts.astype(np.int32), sizes.astype(np.int32), found[starts].view(np.int64), first, second
+                    )
                 for column, value in zip(columns, values):
                     column.append(value)
+            types = [pa.int64(), pa.string(), pa.binary(), *(pa.list_(kind) for kind in (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("doc_id"), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()),
-                    pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.list_(pa.int32())),
-                    pa.array(columns[4], pa.list_(pa.int64())), pa.array(columns[5], pa.list_(pa.int32())),
-                ],
-                names=["doc_id", "n_words", "kept_sha256", "text", "places", "first", "second"],
+                [rows.column("doc_id"), *(pa.array(column, kind) for column, kind in zip(columns, types))],
+                names=["doc_id", "n_words", "kept_sha256", "text", "starts", "sizes", "anchors", "first", "second"],
             )
 
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(
         screen,
-        "doc_id long, n_words long, kept_sha256 string, text binary, places array<int>, first array<long>, second array<int>",
+        "doc_id long, n_words long, kept_sha256 string, text binary, starts array<int>, sizes array<int>, "
+        "anchors array<long>, first array<long>, second array<long>",
     )
 
 
+def _owned(first: np.ndarray, second: np.ndarray, doc_ids: np.ndarray) -> np.ndarray:
+    """One value for a run in a document."""
+    return mix(first.view(np.uint64) ^ mix(second.view(np.uint64) + doc_ids.astype(np.int64).view(np.uint64)))
+
+
+def _open_windows(passed: DataFrame, opened: DataFrame, rule: Repeats) -> DataFrame:
+    """``doc_id, copy, place, first, second`` of every window of the ``opened``
+    runs (``home, first, second``) in their home documents. The runs go to the
+    tasks as bits; a wrong bit adds windows, which are grouped like any other."""
+    bits = _room(max(1, opened.count()), rule)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, second, home = (np.asarray(batch.column(name)) for name in ("first", "second", "home"))
+            yield pa.RecordBatch.from_arrays([pa.array(_cells(_owned(first, second, home), 0, bits))], names=["cell"])
+
+    cells = opened.select("home", "first", "second").mapInArrow(mark, "cell long").distinct()
+    sent = opened.sparkSession.sparkContext.broadcast(_filled(cells, 1, bits, "opened"))
+
+    def hash_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, doc_id in enumerate(batch.column("doc_id").to_pylist()):
+                starts, sizes, first, second = (
+                    np.asarray(batch.column(name)[at].values) for name in ("starts", "sizes", "first", "second")
+                )
+                wanted = _passes(_owned(first, second, np.full(len(first), doc_id, np.int64)), bits, sent.value)
+                if not wanted.any():
+                    continue
+                starts, sizes = starts[wanted].astype(np.int64), sizes[wanted]
+                places = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+                hashes = word_hashes(batch.column("text")[at].as_py().split())
+                first, second = _digests(hashes, places, places + rule.words)
+                count = len(places)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(count, doc_id, np.int64)), pa.array(np.full(count, batch.column("copy")[at].as_py(), np.int64)),
+                        pa.array(places.astype(np.int32)), pa.array(first), pa.array(second),
+                    ],
+                    names=["doc_id", "copy", "place", "first", "second"],
+                )
+
+    rows = passed.select("doc_id", _short("kept_sha256").alias("copy"), "text", "starts", "sizes", "first", "second")
+    return rows.mapInArrow(hash_windows, "doc_id long, copy long, place int, first long, second long")
+
+
 def _cut(rows: DataFrame, size: int) -> DataFrame:
-    """Texts without the words that the windows at ``repeats`` cover."""
+    """Texts without the words that the windows of ``repeats`` (place and number) cover."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, digests, left = [], [], []
             for text, repeats in zip(batch.column("text").to_pylist(), batch.column("repeats").to_pylist()):
                 words = text.split()
                 change = np.zeros(len(words) + 1, np.int64)
-                places = np.asarray(repeats, np.int64)
+                places = np.asarray([part["place"] for part in repeats], np.int64)
+                counts = np.asarray([part["count"] for part in repeats], np.int64)
                 np.add.at(change, places, 1)
-                np.add.at(change, places + size, -1)
+                np.add.at(change, places + counts + size - 1, -1)
                 gone = np.cumsum(change[:-1]) > 0
                 kept = [word for word, out in zip(words, gone.tolist()) if not out]
                 removed.append(int(gone.sum()))
@@ -218,40 +295,59 @@ def cut_documents(documents: DataFrame, rule: Repeats = Repeats()) -> DataFrame:
     is the shortened text with single spaces, null where nothing was removed.
 
     Exact copies are settled by their digest first: all but the smallest id lose
-    every word, and only that one's windows are grouped. Window groups are
-    minima with map-side combining; a passage that a third of all documents
-    share meets its minimum in a join that adaptive execution can split.
+    every word, and only that one's runs are grouped. Groups are minima with
+    map-side combining, written before rows meet them in joins that adaptive
+    execution can split, so a passage that a third of all documents share is no
+    task's alone.
     """
     screened = write_stage(_screened(documents.select("doc_id", "text"), rule), "screened")
-    passed = screened.filter(F.col("places").isNotNull() & F.col("doc_id").isNotNull())
     first_copy = screened.filter(F.col("doc_id").isNotNull() & (F.col("n_words") >= rule.words)).groupBy("kept_sha256").agg(
         F.min("doc_id").alias("home"), F.max("doc_id").alias("last")
     )
     copied = new_stage(first_copy.filter(F.col("home") < F.col("last")).select("kept_sha256", "home"), "copied")
-    sources = (
-        passed.select("doc_id", "kept_sha256", "places", "first", "second")
+    passed = screened.filter(F.col("starts").isNotNull() & F.col("doc_id").isNotNull())
+    # A run carries eight bytes of its text's digest, to tell rows of one id apart.
+    runs = new_stage(
+        passed.select("doc_id", "kept_sha256", "starts", "sizes", "anchors", "first", "second")
         .join(copied.rows, "kept_sha256", "left")
         .filter(F.col("home").isNull() | (F.col("home") == F.col("doc_id")))
+        .select(
+            "doc_id", _short("kept_sha256").alias("copy"),
+            F.explode(F.arrays_zip("starts", "sizes", "anchors", "first", "second")).alias("run"),
+        )
+        .select("doc_id", "copy", "run.*"),
+        "runs",
+    )
+    distinct = new_stage(
+        runs.rows.groupBy("first", "second").agg(
+            F.min("doc_id").alias("home"), F.max("doc_id").alias("last"), F.min("anchors").alias("anchor")
+        ),
+        "distinct-runs",
     )
-    # A window carries eight bytes of its text's digest, to tell rows of one id apart.
-    windows = new_stage(
-        sources.select(
-            "doc_id", _short("kept_sha256").alias("copy"), F.explode(F.arrays_zip("places", "first", "second")).alias("w")
-        ).select("doc_id", "copy", "w.*"),
-        "windows",
+    mixed = distinct.rows.groupBy("anchor").agg(F.min("home").alias("low"), F.max("home").alias("high"))
+    opened = new_stage(
+        distinct.rows.join(mixed.filter(F.col("low") < F.col("high")).select("anchor"), "anchor").select("home", "first", "second"),
+        "opened-runs",
     )
-    shared = (
+    windows = new_stage(_open_windows(passed, opened.rows, rule), "windows")
+    shared = new_stage(
         windows.rows.groupBy("first", "second").agg(F.min("doc_id").alias("home"), F.max("doc_id").alias("last"))
-        .filter(F.col("home") < F.col("last")).select("first", "second", "home")
+        .filter(F.col("home") < F.col("last")).select("first", "second", "home"),
+        "shared-windows",
     )
+    shared_runs = distinct.rows.filter(F.col("home") < F.col("last")).select("first", "second", "home")
+    whole = runs.rows.join(shared_runs, ["first", "second"]).filter(F.col("home") < F.col("doc_id"))
+    single = windows.rows.join(shared.rows, ["first", "second"]).filter(F.col("home") < F.col("doc_id"))
     repeats = (
-        windows.rows.join(shared, ["first", "second"]).filter(F.col("home") < F.col("doc_id"))
-        .groupBy("doc_id", "copy").agg(F.collect_set("places").alias("repeats"))
+        whole.select("doc_id", "copy", F.col("starts").alias("place"), F.col("sizes").alias("count"))
+        .unionByName(single.select("doc_id", "copy", "place", F.lit(1).alias("count")))
+        .groupBy("doc_id", "copy").agg(F.collect_list(F.struct("place", "count")).alias("repeats"))
     )
     texts = passed.select("doc_id", _short("kept_sha256").alias("copy"), F.col("kept_sha256").alias("whole"), "text")
     found = texts.join(repeats, ["doc_id", "copy"]).dropDuplicates(["doc_id", "whole"])
     shortened = write_stage(_cut(found, rule.words), "shortened")
-    windows.remove()
+    for stage in (runs, distinct, opened, windows, shared):
+        stage.remove()
     nothing = hashlib.sha256(b"").hexdigest()
     later_copy = F.coalesce(F.col("home") < F.col("doc_id"), F.lit(False))
     result = (

@@ -30,7 +30,7 @@ def cut(spark, rows, rule=Repeats(), schema="doc_id long, text string"):
     return substrings.cut_documents(spark.createDataFrame(rows, schema), rule).collect()
 
 
-@pytest.mark.parametrize("rule", [Repeats(), Repeats(words=12), Repeats(most_bits=16, cells_per_anchor=1, rows=1)])
+@pytest.mark.parametrize("rule", [Repeats(), Repeats(words=12, run=3), Repeats(run=1), Repeats(most_bits=16, cells_per_anchor=1, rows=1)])
 def test_against_plain_version(spark, rule):
     rows = corpus()
     found = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in cut(spark, rows, rule)}
@@ -52,6 +52,14 @@ def test_special_rows(spark):
     assert cut(spark, []) == []
 
 
+def test_runs_cover_every_window():
+    values = np.repeat(np.array([5, 9, 5, 7], np.uint64), [1, 10, 3, 64])
+    starts, sizes = substrings._runs(values, Repeats(run=4))
+    assert sizes.max() == 4 and np.array_equal(np.concatenate([np.arange(a, a + n) for a, n in zip(starts, sizes)]), np.arange(78))
+    assert all(len(set(values[a : a + n])) == 1 for a, n in zip(starts, sizes))
+    assert [len(part) for part in substrings._runs(values[:0], Repeats())] == [0, 0]
+
+
 def test_equal_windows_have_equal_anchors_and_sketches_lose_none(spark):
     chance = np.random.default_rng(1)
     window = chance.integers(0, 2**63, 50, dtype=np.uint64)
