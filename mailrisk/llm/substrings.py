@@ -38,6 +38,7 @@ ship_with_tasks(__name__)
 
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _BLOCK_BITS = 16
+_COUNT_BITS = 20
 
 
 @dataclass(frozen=True)
@@ -262,15 +263,16 @@ def _open_windows(passed: DataFrame, opened: DataFrame, rule: Repeats) -> DataFr
 
 
 def _cut(rows: DataFrame, size: int) -> DataFrame:
-    """Texts without the words that the windows of ``repeats`` (place and number) cover."""
+    """Texts without the words that the windows of ``repeats`` (place and number) cover, packed
+    in one number; the rows of a batch are worked on a few MB of text at a time."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for rows, texts in chunks(batches, "text"):
             removed, digests, left = [], [], []
-            for text, repeats in zip(batch.column("text").to_pylist(), batch.column("repeats").to_pylist()):
+            for text, repeats in zip(texts, rows.column("repeats")):
                 words = text.split()
                 change = np.zeros(len(words) + 1, np.int64)
-                places = np.asarray([part["place"] for part in repeats], np.int64)
-                counts = np.asarray([part["count"] for part in repeats], np.int64)
+                packed = np.asarray(repeats.values)
+                places, counts = packed >> _COUNT_BITS, packed & ((1 << _COUNT_BITS) - 1)
                 np.add.at(change, places, 1)
                 np.add.at(change, places + counts + size - 1, -1)
                 gone = np.cumsum(change[:-1]) > 0
@@ -279,7 +281,7 @@ def _cut(rows: DataFrame, size: int) -> DataFrame:
                 digests.append(_digest(kept))
                 left.append(b" ".join(kept).decode())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("whole"), pa.array(removed, pa.int64()), pa.array(digests), pa.array(left)],
+                [rows.column("doc_id"), rows.column("whole"), pa.array(removed, pa.int64()), pa.array(digests), pa.array(left)],
                 names=["doc_id", "whole", "n_removed", "cut_sha256", "left"],
             )
 
@@ -336,12 +338,13 @@ def cut_documents(documents: DataFrame, rule: Repeats = Repeats()) -> DataFrame:
         "shared-windows",
     )
     shared_runs = distinct.rows.filter(F.col("home") < F.col("last")).select("first", "second", "home")
+    packed = F.shiftleft(F.col("place").cast("long"), _COUNT_BITS) + F.col("count")
     whole = runs.rows.join(shared_runs, ["first", "second"]).filter(F.col("home") < F.col("doc_id"))
     single = windows.rows.join(shared.rows, ["first", "second"]).filter(F.col("home") < F.col("doc_id"))
     repeats = (
         whole.select("doc_id", "copy", F.col("starts").alias("place"), F.col("sizes").alias("count"))
         .unionByName(single.select("doc_id", "copy", "place", F.lit(1).alias("count")))
-        .groupBy("doc_id", "copy").agg(F.collect_list(F.struct("place", "count")).alias("repeats"))
+        .groupBy("doc_id", "copy").agg(F.collect_list(packed).alias("repeats"))
     )
     texts = passed.select("doc_id", _short("kept_sha256").alias("copy"), F.col("kept_sha256").alias("whole"), "text")
     found = texts.join(repeats, ["doc_id", "copy"]).dropDuplicates(["doc_id", "whole"])
