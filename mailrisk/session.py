@@ -5,12 +5,17 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_DEFAULT_BATCH_BYTES = f"{64 << 20}b"
+_STAGE_BATCH_BYTES = 8 << 20
 
 
 def build_session(app_name: str = "mailrisk", master: str | None = None, **settings) -> SparkSession:
@@ -59,6 +64,22 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/mailrisk/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most 8 MB for what is run inside: by default a task
+    holds ten thousand texts, or 64 MB, on both sides of the pipe to Python. A
+    setting of the user's own stays."""
+    before = spark.conf.get(BATCH_BYTES, _DEFAULT_BATCH_BYTES)
+    if before != _DEFAULT_BATCH_BYTES:
+        yield
+        return
+    spark.conf.set(BATCH_BYTES, f"{_STAGE_BATCH_BYTES}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
+
+
 @dataclass(frozen=True)
 class Stage:
     """A written intermediate table and the folder that holds it."""
@@ -77,7 +98,8 @@ def new_stage(df: DataFrame, name: str, schema=None) -> Stage:
     """Write ``df`` once; reading it back cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return Stage(spark.read.schema(schema or df.schema).parquet(path), path)
 
 
