@@ -490,9 +490,8 @@ def q_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same scores from a file stream over all conversations."""
     _, model = closed_form_model(spark, sf_dir)
     schema = spark.read.parquet(f"{sf_dir}/conversations.parquet").schema
-    arriving = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
-    )
+    # A glob: the table may be one file or a folder of files, and a stream takes no plain path to a file.
+    arriving = spark.readStream.schema(schema).parquet(f"{sf_dir}/conversations.parque[t]")
     pasted = tables.pasted_mails_from(arriving)
     folder = new_folder(spark, "stream")
     running = scoring.start_scoring(
