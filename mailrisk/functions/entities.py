@@ -119,4 +119,4 @@ def decode_entities(value: Column) -> Column:
     Only texts with an ampersand that can start a reference are cut into pieces.
     """
     pieces = F.transform(F.split(value, rf"(?={_START})"), _decode_piece)
-    return F.when(value.rlike(_START), F.array_join(pieces, "")).otherwise(value)
+    return F.when(value.contains("&") & value.rlike(_START), F.array_join(pieces, "")).otherwise(value)

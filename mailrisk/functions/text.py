@@ -7,6 +7,8 @@ here leaves the JVM.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,21 +74,26 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def _replace_if(value: Column, needle: str, pattern: str, replacement: str) -> Column:
-    """``regexp_replace`` for texts that contain ``needle``; others skip the scan."""
+def _replace_if(value: Column, needles: tuple[str, ...], pattern: str, replacement: str) -> Column:
+    """``regexp_replace`` for texts that contain a needle; others skip the scan."""
     return bind(
         value,
         lambda text: F.when(
-            text.contains(needle), F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
+            reduce(Column.__or__, (text.contains(needle) for needle in needles)),
+            F.regexp_replace(text, F.lit(pattern), F.lit(replacement)),
         ).otherwise(text),
     )
 
 
+def with_placeholders(value: Column) -> Column:
+    """Lower-case text without entities and markup, with url/email/num placeholders."""
+    text = F.lower(decode_entities(F.coalesce(value, F.lit(""))))
+    text = _replace_if(text, ("<",), MARKUP, " ")
+    text = _replace_if(text, ("http", "www."), LINK, " url ")
+    text = _replace_if(text, ("@",), ADDRESS, " email ")
+    return F.regexp_replace(text, NUMBER, " num ")
+
+
 def clean_text(value: Column) -> Column:
     """Bring message text to lower-case words with url/email/num placeholders."""
-    text = F.lower(decode_entities(F.coalesce(value, F.lit(""))))
-    text = _replace_if(text, "<", MARKUP, " ")
-    text = F.regexp_replace(text, LINK, " url ")
-    text = _replace_if(text, "@", ADDRESS, " email ")
-    text = F.regexp_replace(text, NUMBER, " num ")
-    return F.btrim(F.regexp_replace(text, NOT_A_LETTER, " "), F.lit(" "))
+    return F.btrim(F.regexp_replace(with_placeholders(value), NOT_A_LETTER, " "), F.lit(" "))

@@ -11,7 +11,7 @@ from mailrisk.functions.risk import class_name
 from mailrisk.functions.text import clean_text
 from mailrisk.operators.dedup import deduplicate, digest, to_metric_rows, with_text_digest
 from mailrisk.operators.standardize import MAIL_COLUMNS
-from mailrisk.operators.terms import MIN_DOCUMENTS, postings
+from mailrisk.operators.terms import MIN_DOCUMENTS, term_statistics
 from mailrisk.session import write_stage
 
 # Histogram and term list sizes.
@@ -184,10 +184,9 @@ def top_terms_by_class(mails: DataFrame, n: int = TOP_TERMS) -> DataFrame:
     ``row_number() <= n`` is pruned inside every map task before the shuffle.
     """
     totals = (
-        postings(mails, ("label",))
-        .groupBy("label", "term")
-        .agg(F.sum("tf").alias("count"), F.count(F.lit(1)).alias("df"))
-        .where(F.col("df") >= MIN_DOCUMENTS)
+        term_statistics(mails, by="label")
+        .where((F.col("term") != "") & (F.col("df") >= MIN_DOCUMENTS))
+        .withColumnRenamed("total_tf", "count")
     )
     ranked = Window.partitionBy("label").orderBy(F.desc("count"), "term")
     return (
