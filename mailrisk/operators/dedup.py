@@ -4,7 +4,8 @@ All grouping is done on SHA-256 digests (taken from the ``<text>_digest`` column
 where a written table has one, so the text is not even read), so only fixed-size keys, one row key
 and label bounds are shuffled, with map-side partial aggregation: a text that
 makes up a third of the rows reaches its reducer as one row per map task. Full
-rows move once, in a semi-join on the unique row key, which cannot be skewed.
+rows move once, in a join on the unique row key, which cannot be skewed; the
+number of tasks that read them follows their bytes.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from mailrisk.operators.standardize import MAIL_COLUMNS
 
+_PART_BYTES = 64 << 20  # text in the full rows that one task of the join reads
+
 
 def digest(value: Column) -> Column:
     return F.sha2(value, 256)
@@ -47,12 +50,32 @@ def text_groups(mails: DataFrame, text: str = "text_combined") -> DataFrame:
     )
 
 
+def _parts(mails: DataFrame) -> int:
+    """Tasks for the full rows: one per ``_PART_BYTES`` of text, at least one per core."""
+    texts = [F.coalesce(F.octet_length(name), F.lit(0)).cast("long") for name, kind in mails.dtypes if kind == "string"]
+    size = mails.agg(F.sum(sum(texts, F.lit(0).cast("long")))).first()[0] or 0
+    return max(mails.sparkSession.sparkContext.defaultParallelism, -(-size // _PART_BYTES))
+
+
+def _rows_of(mails: DataFrame, keys: DataFrame) -> DataFrame:
+    """Full rows whose ``row_key`` is in ``keys``, as a left semi-join gives them.
+
+    The number of partitions is set here: otherwise adaptive execution merges
+    them, or, once it broadcasts the keys, has one task read all that a map task
+    wrote, and what a task reads grows with the input. It is an inner join on
+    distinct keys, as the optimizer moves a semi-join below the repartitioning.
+    """
+    parts = _parts(mails)
+    distinct = keys.repartition(parts, "row_key").select("row_key").distinct()
+    return mails.repartition(parts, "row_key").join(distinct, "row_key").select(*mails.columns)
+
+
 def drop_exact_duplicates(mails: DataFrame, columns: tuple[str, ...] = MAIL_COLUMNS) -> DataFrame:
     """Keep the first of the rows that agree in all columns."""
     first = mails.groupBy(row_digest(columns).alias("digest")).agg(
         F.min("row_key").alias("row_key")
     )
-    return mails.join(first.select("row_key"), "row_key", "left_semi")
+    return _rows_of(mails, first.select("row_key"))
 
 
 def deduplicate(mails: DataFrame, text: str = "text_combined") -> DataFrame:
@@ -65,7 +88,7 @@ def deduplicate(mails: DataFrame, text: str = "text_combined") -> DataFrame:
         .where(F.col("min_label") == F.col("max_label"))
         .select(F.col("first_key").alias("row_key"))
     )
-    return mails.join(kept, "row_key", "left_semi")
+    return _rows_of(mails, kept)
 
 
 def standardization_summary(standardized: DataFrame, usable: DataFrame) -> DataFrame:
